@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from .bpe import op3_bpe
 from .urls import op9_url_filters
 
 QUERIES = {
+    "op3_bpe": op3_bpe,
     "op9_url_filters": op9_url_filters,
 }
 ORACLES: dict = {}
