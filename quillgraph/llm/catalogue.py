@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 from .bpe import op3_bpe
+from .mixing import OP2_SQL, op2_mixing
 from .urls import op9_url_filters
 
 QUERIES = {
+    "op2_mixing": op2_mixing,
     "op3_bpe": op3_bpe,
     "op9_url_filters": op9_url_filters,
 }
-ORACLES: dict = {}
+ORACLES: dict = {
+    "op2_mixing": OP2_SQL,
+}
