@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from .bpe import op3_bpe
 from .mixing import OP2_SQL, op2_mixing
+from .quality_rules import OP5_SQL, op5_quality_rules
 from .urls import op9_url_filters
 
 QUERIES = {
     "op2_mixing": op2_mixing,
     "op3_bpe": op3_bpe,
+    "op5_quality_rules": op5_quality_rules,
     "op9_url_filters": op9_url_filters,
 }
 ORACLES: dict = {
     "op2_mixing": OP2_SQL,
+    "op5_quality_rules": OP5_SQL,
 }
