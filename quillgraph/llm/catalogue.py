@@ -5,11 +5,13 @@ from __future__ import annotations
 from .bpe import op3_bpe
 from .mixing import OP2_SQL, op2_mixing
 from .quality_rules import OP5_SQL, op5_quality_rules
+from .toxicity import op4_toxicity
 from .urls import op9_url_filters
 
 QUERIES = {
     "op2_mixing": op2_mixing,
     "op3_bpe": op3_bpe,
+    "op4_toxicity": op4_toxicity,
     "op5_quality_rules": op5_quality_rules,
     "op9_url_filters": op9_url_filters,
 }

@@ -122,14 +122,14 @@ def flat(strings: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 class Words:
     """Word starts and ends (bytes) of texts, and the text each word stands in."""
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray):
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, is_gap: np.ndarray = IS_GAP):
         self.data, self.offsets = data, offsets
         n = len(data)
         if not n:
             self.start = self.end = self.doc = np.zeros(0, np.int64)
             self.first = np.zeros(len(offsets), np.int64)
             return
-        gap = IS_GAP[data]
+        gap = is_gap[data]
         cut = np.zeros(n + 1, bool)
         cut[offsets] = True
         cut[n] = True
