@@ -5,7 +5,7 @@ document and a rest f. For the rest, documents are ranked by U/(1-U) divided by
 f/(1-f) * (size / mean size) ** tilt, and taken in that order up to the words that are still wanted, so that
 the sample has a fixed size in words. U comes from a digest of doc_id, so reruns agree.
 
-Ranks are never computed by sorting a source: documents fall into about one bucket per 8,000 rows by their
+Ranks are never computed by sorting a source: the n documents of a source fall into about sqrt(n) buckets by their
 rank value, words are summed by bucket, and only the bucket in which a source's target is met is sorted.
 """
 
@@ -78,7 +78,7 @@ def mix(
     whole = F.least(F.floor(r), F.lit(max_copies)).cast("long")
     stats = stats.withColumn("whole_copies", whole).withColumn("rest", F.round(F.col("target")).cast("long") - F.col("whole_copies") * F.col("source_size"))
     stats = stats.withColumn("f", F.when(F.col("source_size") > 0, F.col("rest") / F.col("source_size")).otherwise(F.lit(0.0)))
-    stats = scratch.table(stats.withColumn("buckets", F.greatest(F.lit(1), F.expr("n_docs div 8000"))).coalesce(1))
+    stats = scratch.table(stats.withColumn("buckets", F.greatest(F.lit(1), F.ceil(F.sqrt("n_docs")))).coalesce(1))
     small = stats.count() <= MAX_BROADCAST_SOURCES
 
     def with_stats(df: DataFrame, columns: list[str], salts: int = 64) -> DataFrame:
@@ -94,7 +94,7 @@ def mix(
     odds = F.col("f") / (1 - F.col("f")) * F.pow(x, F.lit(float(tilt)))
     q = F.when((F.col("size") > 0) & (F.col("rest") > 0) & (F.col("f") < 1), F.col("u") / (1 - F.col("u")) / odds)
     rows = rows.withColumn("q", q).withColumn("bucket", F.least((F.col("q") / (1 + F.col("q")) * F.col("buckets")).cast("long"), F.col("buckets") - 1))
-    # Words by bucket, and the bucket in which the target is met (a row per 8,000 documents)
+    # Words by bucket, and the bucket in which the target is met (sqrt(n) rows for n documents)
     sums = rows.where("q IS NOT NULL").groupBy("source", "bucket").agg(F.sum("size").alias("words"), F.max("rest").alias("rest"))
     run = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
     met = sums.withColumn("until", F.sum("words").over(run)).where("until - words < rest AND until >= rest")
