@@ -5,6 +5,7 @@ from __future__ import annotations
 from .bpe import op3_bpe
 from .mixing import OP2_SQL, op2_mixing
 from .near_dup import OP8_SQL, op8_near_dup
+from .neighbours import op6_neighbours
 from .quality_rules import OP5_SQL, op5_quality_rules
 from .toxicity import op4_toxicity
 from .urls import op9_url_filters
@@ -14,6 +15,7 @@ QUERIES = {
     "op3_bpe": op3_bpe,
     "op4_toxicity": op4_toxicity,
     "op5_quality_rules": op5_quality_rules,
+    "op6_neighbours": op6_neighbours,
     "op8_near_dup": op8_near_dup,
     "op9_url_filters": op9_url_filters,
 }
