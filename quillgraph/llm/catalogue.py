@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .bpe import op3_bpe
+from .html_text import op1_html_text
 from .mixing import OP2_SQL, op2_mixing
 from .near_dup import OP8_SQL, op8_near_dup
 from .neighbours import op6_neighbours
@@ -11,6 +12,7 @@ from .toxicity import op4_toxicity
 from .urls import op9_url_filters
 
 QUERIES = {
+    "op1_html_text": op1_html_text,
     "op2_mixing": op2_mixing,
     "op3_bpe": op3_bpe,
     "op4_toxicity": op4_toxicity,
