@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .bpe import op3_bpe
+from .chat import OP7_SQL, op7_chat
 from .html_text import op1_html_text
 from .mixing import OP2_SQL, op2_mixing
 from .near_dup import OP8_SQL, op8_near_dup
@@ -18,11 +19,13 @@ QUERIES = {
     "op4_toxicity": op4_toxicity,
     "op5_quality_rules": op5_quality_rules,
     "op6_neighbours": op6_neighbours,
+    "op7_chat": op7_chat,
     "op8_near_dup": op8_near_dup,
     "op9_url_filters": op9_url_filters,
 }
 ORACLES: dict = {
     "op2_mixing": OP2_SQL,
     "op5_quality_rules": OP5_SQL,
+    "op7_chat": OP7_SQL,
     "op8_near_dup": OP8_SQL,
 }
