@@ -5,6 +5,7 @@ from __future__ import annotations
 from .bpe import op3_bpe
 from .chat import OP7_SQL, op7_chat
 from .html_text import op1_html_text
+from .lm import op10_lm
 from .mixing import OP2_SQL, op2_mixing
 from .near_dup import OP8_SQL, op8_near_dup
 from .neighbours import op6_neighbours
@@ -22,6 +23,7 @@ QUERIES = {
     "op7_chat": op7_chat,
     "op8_near_dup": op8_near_dup,
     "op9_url_filters": op9_url_filters,
+    "op10_lm": op10_lm,
 }
 ORACLES: dict = {
     "op2_mixing": OP2_SQL,
