@@ -70,7 +70,7 @@ def mix(
     spark = docs.sparkSession
     scratch = Scratch(spark)
     u = (F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_col).cast("string"), F.lit("")))), 1, 13), 16, 10).cast("double") + 0.5) / HASH_RANGE
-    base = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), n_words(text_col).alias("size"), u.alias("u"), F.xxhash64(text_col).alias("h"), *keep)
+    base = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), n_words(text_col).alias("size"), u.alias("u"), F.xxhash64(text_col).alias("h"), *[c for c in keep if c != "source"])
     base = scratch.table(base)
     sizes = base.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n_docs"))
     stats = targets(sizes, weights, max_copies)

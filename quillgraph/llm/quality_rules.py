@@ -13,6 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import _R, _TABLE, Words, _pow, flat, mix, pieces, read, ship
 
@@ -177,8 +178,10 @@ def apply_rules(
     max_covered: float = 0.2,
     max_longest: int = 100,
     spans: bool = False,
+    carry: bool = False,
 ) -> DataFrame:
-    """Counts and verdict of every whole text; with spans=True also the maximal repeats as (start, end) in words.
+    """Counts and verdict of every whole text; with spans=True also the maximal repeats as (start, end) in words; with
+    carry=True only kept, after all columns of docs.
 
     The base fails a text of under 10 words, or with over 20 % of its words in 5-word windows that stand in it
     twice or more. The suffix-array rule fails one whose united repeats of `min_words` words or more cover over
@@ -191,12 +194,15 @@ def apply_rules(
 
     def run(batches):
         for batch in batches:
-            keys, texts = batch.column(0), batch.column(1)
+            keys, texts = batch.column(id_col if carry else "doc_id"), batch.column(text_col if carry else "text")
             for a, b in pieces(texts):
                 m = measure(*flat(texts.slice(a, b - a)), min_words)
                 five = m["n_repeat_words"] if min_words == 5 else measure(*flat(texts.slice(a, b - a)), 5)["n_repeat_words"]
                 failed = (m["n_words"] < 10) | (100 * five > 20 * m["n_words"])
                 kept = ~failed & (m["n_repeat_words"] <= max_covered * m["n_words"]) & (m["longest_repeat"] <= max_longest)
+                if carry:
+                    yield pa.RecordBatch.from_arrays([*batch.slice(a, b - a).columns, pa.array(kept)], [*batch.schema.names, "kept"])
+                    continue
                 columns = [keys.slice(a, b - a).cast(pa.int64())]
                 columns += [pa.array(m[c].astype(np.int64)) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines")]
                 columns += [pa.array(five.astype(np.int64)), pa.array(failed), pa.array(kept), pa.array(m["longest_repeat"])]
@@ -206,6 +212,8 @@ def apply_rules(
                     names.append("repeats")
                 yield pa.RecordBatch.from_arrays(columns, names)
 
+    if carry:
+        return docs.mapInArrow(run, T.StructType([*docs.schema, T.StructField("kept", T.BooleanType())]))
     schema = SCHEMA + ", repeats array<struct<start: int, end: int>>" * spans
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
 

@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import _TABLE, LOWER, Scratch, Words, _pow, flat, mix, pieces, read, shingles, ship
 
@@ -366,27 +367,34 @@ def train(docs: DataFrame, labels: DataFrame, max_training_rows: int = 40_000, m
     return Model(bias, chosen.hashes, weights, grams)
 
 
-def score(docs: DataFrame, model: Model, restored: bool = False) -> DataFrame:
-    """doc_id, score of every whole text; with restored=True also the restored tokens."""
+def score(docs: DataFrame, model: Model, restored: bool = False, carry: bool = False) -> DataFrame:
+    """doc_id, score of every whole text; with restored=True also the restored tokens; with carry=True score after all
+    columns of docs."""
     ship(docs.sparkSession)
 
     def run(batches):
         lex, restorer = Lexicon(model.hashes), Restorer(CharModel(model.trigrams))
         for batch in batches:
-            for a, b in pieces(batch.column(1)):
-                texts = batch.column(1).slice(a, b - a)
+            for a, b in pieces(batch.column("text")):
+                texts = batch.column("text").slice(a, b - a)
                 doc, place = lex.match(*all_features(texts, restorer))
                 z = model.bias + np.bincount(doc, weights=model.weights[place], minlength=b - a)
-                columns = [batch.column(0).slice(a, b - a).cast(pa.int64()), pa.array(1 / (1 + np.exp(-np.clip(z, -500, 500))))]
+                columns = batch.slice(a, b - a).columns if carry else [batch.column("doc_id").slice(a, b - a).cast(pa.int64())]
+                columns.append(pa.array(1 / (1 + np.exp(-np.clip(z, -500, 500)))))
                 if restored:
                     data, offsets = flat(texts)
                     rows: list[list[str]] = [[] for _ in range(b - a)]
                     for x, d in zip(*restorer.find(lowered(data), offsets), strict=True):
                         rows[d].append(x.decode("utf-8", "replace"))
                     columns.append(pa.array(rows, pa.list_(pa.string())))
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "score", "restored"][: len(columns)])
-
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, score double" + ", restored array<string>" * restored)
+                yield pa.RecordBatch.from_arrays(columns, names)
+
+    chosen = docs if carry else docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    schema = T.StructType([*(chosen.schema if carry else chosen.schema[:1]), T.StructField("score", T.DoubleType())])
+    if restored:
+        schema.add("restored", T.ArrayType(T.StringType()))
+    names = schema.fieldNames()
+    return chosen.mapInArrow(run, schema)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_training_rows: int = 40_000) -> DataFrame:
