@@ -93,7 +93,7 @@ def mix(
     x = F.col("size") * F.col("n_docs") / F.col("source_size")
     odds = F.col("f") / (1 - F.col("f")) * F.pow(x, F.lit(float(tilt)))
     q = F.when((F.col("size") > 0) & (F.col("rest") > 0) & (F.col("f") < 1), F.col("u") / (1 - F.col("u")) / odds)
-    rows = rows.withColumn("q", q).withColumn("bucket", F.least((F.col("q") / (1 + F.col("q")) * F.col("buckets")).cast("long"), F.col("buckets") - 1))
+    rows = rows.withColumn("q", q).withColumn("bucket", F.when(F.col("q").isNotNull(), F.least((F.col("q") / (1 + F.col("q")) * F.col("buckets")).cast("long"), F.col("buckets") - 1)))
     # Words by bucket, and the bucket in which the target is met (sqrt(n) rows for n documents)
     sums = rows.where("q IS NOT NULL").groupBy("source", "bucket").agg(F.sum("size").alias("words"), F.max("rest").alias("rest"))
     run = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
