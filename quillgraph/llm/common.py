@@ -161,7 +161,7 @@ def shingles(words: Words, hashes: np.ndarray, k: int = 5) -> tuple[np.ndarray,
     if not len(hashes):
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     total = np.zeros(len(hashes), np.uint64)
-    for j in range(k):
+    for j in range(min(k, len(hashes))):
         part = hashes * np.uint64(pow(_R, j + 1, 1 << 64))
         total[: len(hashes) - j] += part[j:]
     per = np.where(n >= k, n - k + 1, 0)
