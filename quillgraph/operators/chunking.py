@@ -120,7 +120,7 @@ def semantic_chunks(docs: DataFrame, source: str = "source", text: str = "text",
                 for seq, (c, a, b) in enumerate(split_text(t or "", embed, threshold, min_size, max_size)):
                     rows.append((f"{s}:{a}-{b}", s, seq, a, b, c))
             out = pd.DataFrame(rows, columns=["chunk_id", "source", "chunk_seq", "start_idx", "end_idx", "text"])
-            out["embedding"] = list(embed(out["text"].tolist())) if len(out) else []
+            out["embedding"] = pd.Series(list(embed(out["text"].tolist())) if len(out) else [], dtype=object)
             yield out
 
     schema = "chunk_id string, source string, chunk_seq int, start_idx int, end_idx int, text string, embedding array<float>"
