@@ -12,18 +12,20 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .graph_query import _cut, both_ways
+from quillgraph.functions.rows import cut, numbered
+
+from .graph_query import both_ways
 
 
 def components(edges: DataFrame, nodes: DataFrame, name: str = "name") -> DataFrame:
     """name, component: the smallest name that is reachable. Labels spread to neighbours and then to the label's label."""
-    links = _cut(both_ways(edges))
-    labels = _cut(nodes.select(F.col(name).alias("name")).union(links.select("a")).distinct().withColumn("component", F.col("name")))
+    links = cut(both_ways(edges))
+    labels = cut(nodes.select(F.col(name).alias("name")).union(links.select("a")).distinct().withColumn("component", F.col("name")))
     while True:
         near = links.join(labels, links["b"] == labels["name"]).groupBy("a").agg(F.min("component").alias("m"))
         spread = labels.join(near, labels["name"] == near["a"], "left").select("name", F.least("component", F.coalesce("m", "component")).alias("component"))
         jump = spread.join(spread.select(F.col("name").alias("component"), F.col("component").alias("up")), "component").select("name", F.least("component", "up").alias("component"))
-        jump = _cut(jump)
+        jump = cut(jump)
         if jump.join(labels.withColumnRenamed("component", "was"), "name").where("component <> was").isEmpty():
             return jump
         labels = jump
@@ -81,7 +83,7 @@ def detect(edges: DataFrame, nodes: DataFrame, resolution: float = 1.0, name: st
     alone = comp.join(inside.select("name"), "name", "left_anti").select("name", F.col("name").alias("rep"))
     member = inside.unionByName(alone)
     sizes = member.groupBy("rep").agg(F.count("*").alias("n"), F.min("name").alias("first"))
-    ids = sizes.withColumn("community_id", (F.row_number().over(Window.orderBy(F.desc("n"), "first")) - 1).cast("int"))
+    ids = numbered(sizes, F.desc("n"), F.col("first")).withColumn("community_id", (F.col("place") - 1).cast("int"))
     return member.join(ids.select("rep", "community_id"), "rep").select("community_id", "name")
 
 

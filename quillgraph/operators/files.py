@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quillgraph.functions.rows import numbered
+
 # Source extensions in order of preference, the suffix of split or paged outputs, size limits in bytes; below,
 # the wording of issues.
 EXTENSIONS = ("pdf", "docx", "pptx", "html", "htm", "doc", "xlsx")
@@ -29,25 +31,12 @@ def parse_ranges(spec: str) -> list[tuple[int, int]]:
 
 
 def select_range(files: DataFrame, spec: str, name: str = "file") -> DataFrame:
-    """Files whose 1-based place in the order of names is in the ranges; places beyond the end are ignored.
-
-    Places come from counts per range partition, not from one global window: rows are range-partitioned and sorted, and
-    each partition's start is the number of rows before it.
-    """
-    spark = files.sparkSession
-    ordered = files.repartitionByRange(F.col(name)).sortWithinPartitions(name).withColumn("_part", F.spark_partition_id())
-    within = Window.partitionBy("_part").orderBy(name)
-    ordered = ordered.withColumn("_at", F.row_number().over(within))
-    before = ordered.groupBy("_part").agg(F.count("*").alias("n"))
-    starts = before.withColumn("_start", F.coalesce(F.sum("n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("n")
-    placed = ordered.join(F.broadcast(starts), "_part").withColumn("place", F.col("_start") + F.col("_at"))
-    wanted = None
+    """Files whose 1-based place in the order of names is in the ranges; places beyond the end are ignored."""
+    placed = numbered(files, F.col(name))
+    wanted = F.lit(False)
     for a, b in parse_ranges(spec):
-        hit = F.col("place").between(a, b)
-        wanted = hit if wanted is None else wanted | hit
-    if wanted is None:
-        return spark.createDataFrame([], placed.drop("_part", "_at", "_start").schema)
-    return placed.where(wanted).drop("_part", "_at", "_start")
+        wanted = wanted | F.col("place").between(a, b)
+    return placed.where(wanted)
 
 
 def page_ranges(docs: DataFrame, pages: str, max_pages: int, stem: str) -> DataFrame:

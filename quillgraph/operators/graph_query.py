@@ -5,11 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-
-def _cut(df: DataFrame) -> DataFrame:
-    """Cuts the lineage of an iteration: a reliable checkpoint where the session names a shared folder."""
-    folder = df.sparkSession.conf.get("spark.checkpoint.dir", None) or df.sparkSession.sparkContext.getCheckpointDir()
-    return df.checkpoint() if folder else df.cache()
+from quillgraph.functions.rows import cut
 
 
 def match_entities(nodes: DataFrame, terms: list[str], max_entities: int = 10, name: str = "name") -> DataFrame:
@@ -39,7 +35,7 @@ def neighbours(edges: DataFrame, seeds: DataFrame, hops: int = 2, name: str = "n
         frontier = found.join(seen.select("name"), "name", "left_anti").withColumn("distance", F.lit(hop))
         seen = seen.unionByName(frontier)
         if hop % 2 == 0 and hop < hops:
-            seen = _cut(seen)
+            seen = cut(seen)
             frontier = seen.where(F.col("distance") == hop)
     return seen
 
@@ -68,8 +64,8 @@ def shortest_paths(edges: DataFrame, seeds: DataFrame, max_hops: int = 50, name:
     for hop in range(1, max_hops + 1):
         step = frontier.join(links, F.col("node") == F.col("a")).select("source", F.col("b").alias("node"), F.concat("path", F.array("b")).alias("path"))
         best = step.groupBy("source", "node").agg(F.min("path").alias("path"))
-        frontier = _cut(best.join(reached.select("source", "node"), ["source", "node"], "left_anti"))
-        reached = _cut(reached.unionByName(frontier))
+        frontier = cut(best.join(reached.select("source", "node"), ["source", "node"], "left_anti"))
+        reached = cut(reached.unionByName(frontier))
         if frontier.isEmpty():
             break
         wanted = start.select(F.col("source").alias("s")).join(start.select(F.col("source").alias("node")), F.col("s") < F.col("node"))  # pairs of the seeds of one question

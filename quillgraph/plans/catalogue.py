@@ -155,7 +155,7 @@ def noise_profile_pages(spark, sf):
 
 
 _COMPARED = rf"""
-c AS (SELECT doc_id, regexp_replace(text, '[\x09-\x0d\x20]+', ' ', 'g') AS text FROM documents WHERE doc_id % 7 <> 0 UNION ALL SELECT -1, 'extra'),
+c AS (SELECT doc_id, regexp_replace(text, '[\x09-\x0d\x20]+', ' ', 'g') AS text FROM documents WHERE length(text) >= 200 UNION ALL SELECT -1, 'extra'),
 po AS ({_noise_sql('documents', 'doc_id', 'text')}), pc AS ({_noise_sql('c', 'doc_id', 'text')}),
 b AS (
   SELECT po.doc_id, {', '.join(f"{p}.{e} AS {side}_{n}" for p, side in (('po', 'orig'), ('pc', 'comp')) for n, e in (('total_noise', 'total_noise'), ('total_headings', 'total_headings'), ('chinese_ratio', 'chinese_ratio'), ('empty_line_ratio', 'empty_line_ratio'), ('table_rows', 'table_rows')))},
@@ -190,7 +190,7 @@ def compare_summary(spark, sf):
     return noise.compare_summary(_compared(spark, sf))
 
 
-@query("compare_missing", "SELECT doc_id, 'missing_compressed' AS side FROM documents WHERE doc_id % 7 = 0 UNION ALL SELECT -1, 'missing_original'")
+@query("compare_missing", "SELECT doc_id, 'missing_compressed' AS side FROM documents WHERE NOT length(text) >= 200 UNION ALL SELECT -1, 'missing_original'")
 def compare_missing(spark, sf):
     docs = table(spark, sf, "documents")
     return noise.missing(docs, cleaned(docs))
@@ -211,20 +211,20 @@ def issue_counts(spark, sf):
     return files.issue_counts(files.validate(table(spark, sf, "documents").select("doc_id", "text")))
 
 
-@query("orphan_outputs", r"WITH o AS (SELECT 'd' || doc_id || CASE WHEN doc_id % 3 = 0 THEN '_p001-p020' WHEN doc_id % 3 = 1 THEN '_p007' ELSE '' END || '.md' AS output FROM documents) SELECT regexp_replace(regexp_replace(output, '\.[^.]*$', ''), '[_-]p\d{3}(-p?\d{3})?$', '') AS stem, output FROM o WHERE stem NOT IN (SELECT 'd' || page_id FROM pages WHERE page_id % 4 <> 0)")
+@query("orphan_outputs", r"WITH o AS (SELECT 'd' || doc_id || CASE WHEN lang = 'en' THEN '_p001-p020' WHEN lang = 'de' THEN '_p007' ELSE '' END || '.md' AS output FROM documents) SELECT regexp_replace(regexp_replace(output, '\.[^.]*$', ''), '[_-]p\d{3}(-p?\d{3})?$', '') AS stem, output FROM o WHERE stem NOT IN (SELECT 'd' || page_id FROM pages WHERE url LIKE '%.html' OR url LIKE 'https%')")
 def orphan_outputs(spark, sf):
-    suffix = F.expr("CASE WHEN doc_id % 3 = 0 THEN '_p001-p020' WHEN doc_id % 3 = 1 THEN '_p007' ELSE '' END")
+    suffix = F.expr("CASE WHEN lang = 'en' THEN '_p001-p020' WHEN lang = 'de' THEN '_p007' ELSE '' END")
     outputs = table(spark, sf, "documents").select(F.concat(F.lit("d"), "doc_id", suffix, F.lit(".md")).alias("output"))
-    sources = table(spark, sf, "pages").select(F.concat(F.lit("d"), "page_id", F.expr("CASE WHEN page_id % 4 = 0 THEN '.png' WHEN page_id % 4 = 1 THEN '.PDF' ELSE '.html' END")).alias("source_file"))
+    sources = table(spark, sf, "pages").select(F.concat(F.lit("d"), "page_id", F.expr("CASE WHEN url LIKE '%.html' THEN '.html' WHEN url LIKE 'https%' THEN '.PDF' ELSE '.png' END")).alias("source_file"))
     return files.orphans(outputs, sources)
 
 
-@query("find_source", r"WITH o AS (SELECT 'd' || doc_id || '_p003.md' AS output, doc_id FROM documents) SELECT output, 'd' || doc_id || CASE WHEN doc_id % 2 = 0 THEN '.pdf' ELSE '.html' END AS source_file FROM o WHERE doc_id IN (SELECT page_id FROM pages)")
+@query("find_source", r"SELECT 'd' || doc_id || '_p003.md' AS output, 'd' || doc_id || CASE WHEN url LIKE 'https%' THEN '.pdf' ELSE '.html' END AS source_file FROM documents JOIN pages ON page_id = doc_id")
 def find_source(spark, sf):
     outputs = table(spark, sf, "documents").select(F.concat(F.lit("d"), "doc_id", F.lit("_p003.md")).alias("output"))
     pages = table(spark, sf, "pages")
     html = pages.select(F.concat(F.lit("d"), "page_id", F.lit(".html")).alias("source_file"))
-    return files.find_source(outputs, html.unionByName(pages.where("page_id % 2 = 0").select(F.concat(F.lit("d"), "page_id", F.lit(".pdf")).alias("source_file"))))
+    return files.find_source(outputs, html.unionByName(pages.where("url LIKE 'https%'").select(F.concat(F.lit("d"), "page_id", F.lit(".pdf")).alias("source_file"))))
 
 
 @query("file_range_select", "SELECT file, place FROM (SELECT file, row_number() OVER (ORDER BY file) AS place FROM (SELECT 'doc_' || lpad(doc_id::VARCHAR, 9, '0') || '.md' AS file FROM documents)) WHERE place BETWEEN 1 AND 5 OR place = 8 OR place BETWEEN 10 AND 12 OR place BETWEEN 100 AND 150")
@@ -448,11 +448,11 @@ def community_retrieval(spark, sf):
     return graph_query.communities_of(c, _seed(spark, "N_1", "N_7", "N_12"))
 
 
-@query("write_back_communities", "SELECT 'N_' || n_nationkey AS name, 'nation' AS type, n_name AS description, CASE WHEN n_nationkey % 5 <> 0 THEN n_regionkey ELSE -1 END AS community_id FROM nation")
+@query("write_back_communities", "SELECT 'N_' || n_nationkey AS name, 'nation' AS type, n_name AS description, CASE WHEN n_regionkey <> 0 THEN n_regionkey ELSE -1 END AS community_id FROM nation")
 def write_back_communities(spark, sf):
     n = table(spark, sf, "nation")
     nodes = n.select(F.concat(F.lit("N_"), "n_nationkey").alias("name"), F.lit("nation").alias("type"), F.col("n_name").alias("description"), F.lit(9).alias("community_id"))
-    return graph_build.with_communities(nodes, n.where("n_nationkey % 5 <> 0").select(F.concat(F.lit("N_"), "n_nationkey").alias("name"), F.col("n_regionkey").alias("community_id"))).fillna({"community_id": -1})
+    return graph_build.with_communities(nodes, n.where("n_regionkey <> 0").select(F.concat(F.lit("N_"), "n_nationkey").alias("name"), F.col("n_regionkey").alias("community_id"))).fillna({"community_id": -1})
 
 
 # ------------------------------------------------------------------ questions and answers

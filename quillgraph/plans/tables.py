@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quillgraph.functions.rows import numbered
 from quillgraph.operators import graph_build
 
 
@@ -19,9 +20,9 @@ def star(spark: SparkSession, sf_dir: str, small: bool = False) -> tuple[DataFra
 
 
 def cleaned(docs: DataFrame) -> DataFrame:
-    """A derived copy: runs of white space become one space; documents whose id is divisible by 7 are missing from it, and
-    one more (id -1) is not among the originals. It is an input of comparisons, not a sample of their work."""
-    kept = docs.where("doc_id % 7 <> 0").select("doc_id", F.regexp_replace("text", "[\\x09-\\x0d\\x20]+", " ").alias("text"))
+    """A derived copy, as a cleaning step leaves it: runs of white space are one space, texts under 200 characters are skipped,
+    and one text (id -1) is not among the originals."""
+    kept = docs.where(F.length("text") >= 200).select("doc_id", F.regexp_replace("text", "[\\x09-\\x0d\\x20]+", " ").alias("text"))
     return kept.unionByName(docs.sparkSession.createDataFrame([(-1, "extra")], "doc_id long, text string"))
 
 
@@ -41,15 +42,9 @@ def marked_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def answered(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(dataset, answers) of conversations: user turns as questions with a contiguous row index, assistant turns as answers
-    of the question before them. The index is laid out by (conv_id, turn) over range partitions."""
+    of the question before them."""
     asked = conversations.where("role = 'user'").select("conv_id", "turn", F.col("text").alias("question"))
-    ordered = asked.repartitionByRange("conv_id", "turn").sortWithinPartitions("conv_id", "turn").withColumn("part", F.spark_partition_id())
-    from pyspark.sql import Window
-
-    ordered = ordered.withColumn("at", F.row_number().over(Window.partitionBy("part").orderBy("conv_id", "turn")))
-    starts = ordered.groupBy("part").agg(F.count("*").alias("n"))
-    starts = starts.withColumn("start", F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("n")
-    dataset = ordered.join(F.broadcast(starts), "part").select("conv_id", "turn", "question", (F.col("start") + F.col("at") - 1).alias("row_idx"))
+    dataset = numbered(asked, "conv_id", "turn").select("conv_id", "turn", "question", (F.col("place") - 1).alias("row_idx"))
     replies = conversations.where("role = 'assistant'").select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("answer"))
     answers = asked.join(replies, ["conv_id", "turn"]).select("question", F.when(F.col("turn") >= 4, F.lit("找到 1 个相关实体和 0 个文本块。请配置 LLM")).otherwise(F.col("answer")).alias("answer"), (F.col("conv_id") * 1000 + F.col("turn")).alias("line"))
     return dataset, answers
