@@ -27,12 +27,7 @@ def drop_low_quality(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_duplicates(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group: that of the smallest doc_id, and one row of it. Rows without doc_id stay."""
-    found = near_dup.near_duplicates(docs).where("kept AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n"))
-    found = Scratch(spark).table(found)
-    kept = docs.join(found.select("doc_id"), "doc_id", "left_semi").select(*docs.columns)
-    if not found.where("n > 1").isEmpty():
-        kept = kept.dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where("doc_id IS NULL"))
+    return near_dup.keep_one(docs)
 
 
 def mix_sources(spark, docs: DataFrame, sf_dir: str) -> DataFrame:

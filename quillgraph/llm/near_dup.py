@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .bloom import Bloom
+from .bloom import _mask as in_filter
 from .common import Scratch, Words, flat, mix, pieces, read, shingles, ship
 from .graph import components
 
@@ -271,14 +273,21 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     likely = connect(rows, scratch, None, cut)
     likely = scratch.table(likely)
 
+    # Full sets of what is in a cluster: a Bloom filter of their ids spares a shuffle of all texts; the join below is exact
+    maybe, bits = (bloom := Bloom(likely, "id")).table, bloom.bits
+
     def item_sets(batches):
         for batch in batches:
+            ids = batch.column(0)
+            wanted = np.zeros(len(ids), bool)
+            known = np.asarray(ids.is_valid())
+            wanted[known] = in_filter(maybe.value, bits, ids.drop_null().to_numpy())
+            batch = batch.filter(pa.array(wanted))
             for a, b in pieces(batch.column(1)):
                 h, bounds = distinct_shingles(batch.column(1).slice(a, b - a))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), _lists(h, bounds)], ["id", "items"])
 
-    wanted = base.join(likely.select(F.col("id").alias("doc_id")), "doc_id", "left_semi")
-    sets = wanted.select("doc_id", "text").mapInArrow(item_sets, "id long, items array<long>")
+    sets = base.mapInArrow(item_sets, "id long, items array<long>")
     full = sets.join(likely, "id").join(reps.select("id", "sig"), "id").select(F.col("label").alias("grp"), "id", "sig", "items")
     linked = connect(scratch.table(full), scratch, percent, cut)
     # Rows of one doc_id and classes of one set are tied together by their smallest doc_id
@@ -288,6 +297,22 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
+def keep_one(docs: DataFrame) -> DataFrame:
+    """The documents with one row of each group, that of its smallest doc_id; rows without doc_id stay. Rows that surely stay
+    are told by a Bloom filter of all others, so that only texts of groups are shuffled for the exact decision."""
+    scratch = Scratch(docs.sparkSession)
+    found = near_duplicates(docs).where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n"), F.max("kept").alias("kept"))
+    odd = scratch.table(found.where("NOT kept OR n > 1"))
+    maybe = Bloom(odd, "doc_id").column("doc_id")
+    marked = docs.withColumn("maybe_", maybe)
+    rest = marked.where("maybe_").drop("maybe_")
+    out = marked.where("NOT maybe_").drop("maybe_").unionByName(rest.join(odd.hint("merge"), "doc_id", "left_anti").select(*docs.columns))
+    again = odd.where("kept")
+    if not again.isEmpty():
+        out = out.unionByName(rest.join(again.hint("merge"), "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"]))
+    return out
+
+
 def op8_near_dup(spark, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents"))
 
