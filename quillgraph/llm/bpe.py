@@ -22,7 +22,7 @@ from .common import pieces, read, ship
 
 SPECIAL_DECODE = "replace"
 #: Words kept with their tokens by a worker process; beyond it the memory is emptied and filled anew.
-MEMORY_WORDS = 400_000
+MEMORY_WORDS = 200_000
 
 
 def byte_letters() -> dict[str, int]:
@@ -86,7 +86,7 @@ class TrieEncoder:
                     bound, a = ra, self.right[a]
                 else:  # of equal merges the left one comes first, so one across the border wins a tie
                     bound, b = rb + 1, self.left[b]
-            if len(self.pairs) > 2_000_000:
+            if len(self.pairs) > 500_000:
                 self.pairs.clear()
             self.pairs[key] = found
         return found
@@ -151,7 +151,7 @@ def encode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: s
 
     vocabulary: path of a tokenizers JSON file that all machines can read; it is a parameter and never copied.
     Returns doc_id, n_tokens, ids_sha256, decoded_sha256 (and ids). No shuffle: each partition is encoded
-    on its own, in blocks of about 3 MB of text. Defined results: a null or empty text has no tokens and
+    on its own, in blocks of about 1 MB of text. Defined results: a null or empty text has no tokens and
     the digests of nothing; strings of special tokens become their ids; rows that repeat are each encoded;
     other columns are ignored; an empty table gives no rows.
     """

@@ -22,8 +22,16 @@ def read(spark, sf_dir: str, table: str):
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+#: Rows of an Arrow batch: batches hold whole texts, and several are in memory on both sides.
+BATCH_ROWS = 2_000
+
+
 def ship(spark) -> None:
-    """Hands this package to the executors through Spark's own file server, once per application."""
+    """Hands this package to the executors through Spark's own file server, once per application, and bounds Arrow batches
+    where the session has not done so."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key) == "10000":  # Spark's default
+        spark.conf.set(key, str(BATCH_ROWS))
     app = spark.sparkContext.applicationId
     if app in _shipped:
         return
@@ -181,7 +189,20 @@ def shingles(words: Words, hashes: np.ndarray, k: int = 5) -> tuple[np.ndarray,
     return out, text
 
 
-def pieces(strings: pa.Array, limit: int = 3 << 20):
+def merged(batches, rows: int = 20_000):
+    """Batches of short rows put together, so that each is worth a vectorised pass."""
+    held, n = [], 0
+    for batch in batches:
+        held.append(batch)
+        n += batch.num_rows
+        if n >= rows:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held, n = [], 0
+    if n:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
+def pieces(strings: pa.Array, limit: int = 1 << 20):
     """Row ranges of about `limit` bytes each, so that memory is bounded; a longer text stands alone."""
     sizes = np.diff(flat(strings)[1])
     at, filled = 0, 0

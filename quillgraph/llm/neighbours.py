@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, read, ship
+from .common import Scratch, merged, read, ship
 from .near_dup import whole_groups
 
 #: Rows of the index and queries that meet in one task at most (on average; chunks are made by hash).
@@ -201,9 +201,7 @@ def nearest(
         cq, cv = np.array([r.vec_id for r in chosen], np.int64), np.array([r.v for r in chosen]).reshape(len(chosen), -1)
 
         def true_neighbours(batches):
-            for batch in batches:
-                if not batch.num_rows:
-                    continue
+            for batch in merged(batches):
                 ids = batch.column(0).to_numpy()
                 q, i, s = best(ids, matrix(batch.column(1)), cq, cv, k)
                 order = np.argsort(ids, kind="stable")

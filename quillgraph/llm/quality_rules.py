@@ -186,7 +186,7 @@ def apply_rules(
     The base fails a text of under 10 words, or with over 20 % of its words in 5-word windows that stand in it
     twice or more. The suffix-array rule fails one whose united repeats of `min_words` words or more cover over
     `max_covered` of its words, or whose longest repeat is over `max_longest` words. No shuffle; blocks of about
-    3 MB of text. Defined results: a null or empty text has no words and fails the base; a text of one line
+    1 MB of text. Defined results: a null or empty text has no words and fails the base; a text of one line
     has no duplicate lines; rows that repeat are judged one by one; other columns are ignored; an empty table
     gives no rows.
     """
