@@ -53,8 +53,7 @@ class Engine:
         chunks = self.chunks if self.chunks is not None else self.chunk_documents()
         if done is not None:
             chunks = files.pending(chunks, done, "chunk_id")
-        order = F.xxhash64("source") * 0 + F.col("chunk_seq")
-        chunks = chunks.select("chunk_id", order.cast("long").alias("chunk_seq"), "text")
+        chunks = chunks.select("chunk_id", F.struct("source", "chunk_seq").alias("chunk_seq"), "text")
         keys = ("chunk_id", "chunk_seq")
         entities, relations = self.extractor(chunks) if self.extractor else (graph_build.extract_entities(chunks, keys=keys), graph_build.extract_relations(chunks, keys=keys))
         return self.use_graph(graph_build.merge_nodes(entities, relations), graph_build.merge_edges(relations))
@@ -132,9 +131,9 @@ class Engine:
         per = found.groupBy("query_id").agg(F.count("*").alias("n_chunks"), F.array_sort(F.collect_list(F.struct("rank", "chunk_id", "text"))).alias("c"))
         terms = questions.select("query_id", F.explode(qa.query_terms("question")).alias("term")).distinct()
         names = self.nodes.select("name", F.lower("name").alias("low"))
-        # A term matches names that hold it: names are cut into all their substrings of the lengths of terms, and joined
-        parts = names.select("name", F.explode(F.expr("transform(filter(flatten(transform(sequence(1, length(low)), i -> transform(sequence(3, greatest(3, length(low))), n -> struct(i, n)))), s -> s.i + s.n - 1 <= length(low)), s -> substring(low, s.i, s.n))")).alias("term")).distinct()
-        hits = terms.join(parts, "term").select("query_id", "name").distinct()
+        # A term matches names that hold it. Terms have three characters at least: their first three meet the names' trigrams
+        grams = names.where("length(low) > 2").select("name", "low", F.explode(F.expr("array_distinct(transform(sequence(1, length(low) - 2), i -> substring(low, i, 3)))")).alias("gram"))
+        hits = terms.withColumn("gram", F.substring("term", 1, 3)).join(grams, "gram").where(F.contains("low", "term")).select("query_id", "name").distinct()
         entities = hits.groupBy("query_id").agg(F.slice(F.array_sort(F.collect_list("name")), 1, self.settings.retrieval.max_entities).alias("entities"))
         none = F.array().cast("array<string>")
         rows = questions.join(per, "query_id", "left").join(entities, "query_id", "left")
