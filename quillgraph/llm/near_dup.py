@@ -198,17 +198,17 @@ def connect(rows: DataFrame, scratch: Scratch, exact: int | None, cut: float) ->
         return keyed.repartition("task").sortWithinPartitions("task").mapInArrow(run, schema)
 
     sizes = rows.groupBy("grp").agg(F.count("*").alias("n")).where("n > 1")
-    sizes = scratch.table(sizes)
+    sizes = scratch.table(sizes, few=True)
     sized = rows.join(sizes, "grp").withColumn("block", F.expr(f"pmod(xxhash64(id, 11), ceil(n / {BLOCK}))"))
     one = sized.select(F.xxhash64("grp", "block").alias("task"), "id", F.col("id").alias("label"), F.lit(0).alias("side"), *payload)
-    edges = scratch.table(tasks(one))
+    edges = scratch.table(tasks(one), few=True)
     labels = components(edges, scratch)
-    large = scratch.table(sizes.where(f"n > {BLOCK}"))
+    large = scratch.table(sizes.where(f"n > {BLOCK}"), few=True)
     if large.isEmpty():
         return labels
     # Groups of several blocks: the largest part against the rest, and the rest against itself
     inside = rows.join(large, "grp").join(labels.withColumnRenamed("label", "l"), "id", "left").withColumn("label", F.coalesce("l", "id")).drop("l")
-    inside = scratch.table(inside)
+    inside = scratch.table(inside, few=True)
     counts = inside.groupBy("grp", "label").agg(F.count("*").alias("c"))
     bulk = counts.groupBy("grp").agg(F.max(F.struct("c", F.col("label").alias("bulk"))).alias("m"), F.sum("c").alias("n_all"))
     bulk = bulk.select("grp", F.col("m.bulk").alias("bulk"), F.expr(f"ceil(m.c / {BLOCK})").alias("nb"), F.expr(f"ceil((n_all - m.c) / {BLOCK})").alias("nm")).where("nm > 0")
@@ -222,7 +222,7 @@ def connect(rows: DataFrame, scratch: Scratch, exact: int | None, cut: float) ->
         f"if(minor, transform(sequence(0L, nm - 1), i -> struct({key.format('m', 'least(own, i)', 'greatest(own, i)')} AS task, if(i = own, 0, if(own < i, 1, 2)) AS side)), array())"
     )
     crossed = inside.withColumn("t", F.explode(F.concat(with_bulk, among))).select("t.task", "id", "label", "t.side", *payload)
-    more = scratch.table(tasks(crossed))
+    more = scratch.table(tasks(crossed), few=True)
     stars = labels.select(F.col("id").alias("u"), F.col("label").alias("v"))
     return components(stars.unionByName(more), scratch)
 
@@ -262,16 +262,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     described = scratch.table(base.mapInArrow(describe, "doc_id long, n_shingles long, k1 long, k2 long, bands array<long>, sig array<long>"))
     usable = described.where("n_shingles > 0 AND doc_id IS NOT NULL")
-    classes = scratch.table(usable.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep")))
+    classes = scratch.table(usable.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep")), few=True)
     reps = usable.join(classes, ["k1", "k2"], "left_semi").join(classes.select(F.col("rep").alias("doc_id"), F.col("k1").alias("c1"), F.col("k2").alias("c2")), "doc_id")
-    reps = scratch.table(reps.where("k1 = c1 AND k2 = c2").select(F.col("doc_id").alias("id"), "bands", "sig").dropDuplicates(["id", "bands"]))
+    reps = scratch.table(reps.where("k1 = c1 AND k2 = c2").select(F.col("doc_id").alias("id"), "bands", "sig").dropDuplicates(["id", "bands"]), few=True)
     buckets = reps.select("id", F.explode("bands").alias("grp"))
     shared = buckets.groupBy("grp").agg(F.count("*").alias("n")).where("n > 1").select("grp")
-    shared = scratch.table(buckets.join(shared, "grp", "left_semi"))
+    shared = scratch.table(buckets.join(shared, "grp", "left_semi"), few=True)
     rows = shared.join(reps.select("id", "sig"), "id")
     cut = percent / 100 - SLACK
     likely = connect(rows, scratch, None, cut)
-    likely = scratch.table(likely)
+    likely = scratch.table(likely, few=True)
 
     # Full sets of what is in a cluster: a Bloom filter of their ids spares a shuffle of all texts; the join below is exact
     maybe, bits = (bloom := Bloom(likely, "id")).table, bloom.bits
@@ -289,7 +289,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     sets = base.mapInArrow(item_sets, "id long, items array<long>")
     full = sets.join(likely, "id").join(reps.select("id", "sig"), "id").select(F.col("label").alias("grp"), "id", "sig", "items")
-    linked = connect(scratch.table(full), scratch, percent, cut)
+    linked = connect(scratch.table(full, few=True), scratch, percent, cut)
     # Rows of one doc_id and classes of one set are tied together by their smallest doc_id
     members = described.join(classes, ["k1", "k2"], "left").withColumn("rep", F.when(F.col("n_shingles") > 0, F.col("rep")))
     out = members.join(linked.withColumnRenamed("id", "rep"), "rep", "left")
@@ -302,7 +302,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
     are told by a Bloom filter of all others, so that only texts of groups are shuffled for the exact decision."""
     scratch = Scratch(docs.sparkSession)
     found = near_duplicates(docs).where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n"), F.max("kept").alias("kept"))
-    odd = scratch.table(found.where("NOT kept OR n > 1"))
+    odd = scratch.table(found.where("NOT kept OR n > 1"), few=True)
     maybe = Bloom(odd, "doc_id").column("doc_id")
     marked = docs.withColumn("maybe_", maybe)
     rest = marked.where("maybe_").drop("maybe_")
