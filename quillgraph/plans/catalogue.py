@@ -256,8 +256,8 @@ def merge_corpus(spark, sf):
 # ------------------------------------------------------------------ vectors
 
 _MEANS = "m AS (SELECT label, list(x ORDER BY i) AS q FROM (SELECT label, i, avg(x) AS x FROM (SELECT label, unnest(range(1, len(embedding) + 1)) AS i, unnest(embedding)::DOUBLE AS x FROM embeddings) GROUP BY label, i) GROUP BY label)"
-_SCORED = "s AS (SELECT t.label AS query_id, vec_id AS id, round({f}(embedding::DOUBLE[], q), 6) AS score FROM embeddings e CROSS JOIN (SELECT label, q FROM m) t)"
-_BEST = "SELECT query_id, id, score, rank FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank FROM s) WHERE rank <= {k}"
+_SCORED = "s AS (SELECT t.label::BIGINT AS query_id, vec_id AS id, round({f}(embedding::DOUBLE[], q), 6) AS score FROM embeddings e CROSS JOIN (SELECT label, q FROM m) t)"
+_BEST = "SELECT query_id, id, score, rank FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id)::INT AS rank FROM s) WHERE rank <= {k}"
 
 
 def _questions(spark, sf):
@@ -305,7 +305,7 @@ def split_groups(spark, sf):
     return vectors.split_groups(table(spark, sf, "embeddings"), "label", "vec_id", "embedding", 0.05).select("label", "vec_id", "group_id")
 
 
-@query("two_stage_rerank", f"WITH {_MEANS}, {_SCORED.format(f='list_cosine_similarity')}, c AS ({_BEST.format(k=20)}), d AS (SELECT query_id, c.id, score, round(list_inner_product(embedding::DOUBLE[], q), 6) - 0.001 * (c.id % 10) AS rerank_score FROM c JOIN embeddings e ON e.vec_id = c.id JOIN m ON m.label = c.query_id) SELECT query_id, id, score, round(rerank_score, 6) AS rerank_score, rank FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(rerank_score, 6) DESC, id) AS rank FROM d) WHERE rank <= 5")
+@query("two_stage_rerank", f"WITH {_MEANS}, {_SCORED.format(f='list_cosine_similarity')}, c AS ({_BEST.format(k=20)}), d AS (SELECT query_id, c.id, score, round(list_inner_product(embedding::DOUBLE[], q), 6) - 0.001 * (c.id % 10) AS rerank_score FROM c JOIN embeddings e ON e.vec_id = c.id JOIN m ON m.label = c.query_id) SELECT query_id, id, score, round(rerank_score, 6) AS rerank_score, rank FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(rerank_score, 6) DESC, id)::INT AS rank FROM d) WHERE rank <= 5")
 def two_stage_rerank(spark, sf):
     retrieve, keep = vectors.pick_k(None, True)
     first = _top(spark, sf, "cosine", retrieve).withColumn("score", F.round("score", 6))
