@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quillgraph.functions import text as T
-from quillgraph.operators import chunking, communities, convert, files, graph_build, graph_query, noise, qa, quality, vectors
+from quillgraph.operators import chunking, communities, convert, files, graph_build, graph_query, noise, preprocess, qa, quality, vectors
 from quillgraph.plans.tables import answered, cleaned, marked_chunks, star, table
 
 QUERIES: dict = {}
@@ -541,3 +541,17 @@ def rag_end_to_end(spark, sf):
     engine.use_graph(nodes, edges)
     questions = table(spark, sf, "benchmark").select(F.col("item_id").alias("query_id"), F.col("text").alias("question"))
     return engine.answer(questions)
+
+
+# ------------------------------------------------------------------ model-driven preprocessing
+
+
+@query("compress_run", rf"""WITH d AS (SELECT doc_id::VARCHAR AS file, text, regexp_replace(regexp_replace(text, '[\x09-\x0d\x20]+', ' ', 'g'), '^ | $', '', 'g') AS out, length(regexp_replace(text, '^[{_SP}]+|[{_SP}]+$', '', 'g')) < 50 AS short FROM documents)
+SELECT file, CASE WHEN short THEN 'skipped' ELSE 'completed' END AS status, {_tokens('text')} AS input_tokens, CASE WHEN short THEN 0 ELSE {_tokens('out')} END AS output_tokens, CASE WHEN short THEN 0 ELSE 1 END AS chunks, CASE WHEN short THEN 'too short' END AS reason, CASE WHEN NOT short THEN out END AS output FROM d""")
+def compress_run(spark, sf):
+    return preprocess.compress(table(spark, sf, "documents"), key="doc_id").drop("compression_ratio", "error")
+
+
+@query("generate_questions")
+def generate_questions(spark, sf):
+    return preprocess.generate_questions(table(spark, sf, "documents"), key="doc_id")
