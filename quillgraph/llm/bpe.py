@@ -21,8 +21,9 @@ from pyspark.sql import functions as F
 from .common import pieces, read, ship
 
 SPECIAL_DECODE = "replace"
-#: Words kept with their tokens by a worker process; beyond it the memory is emptied and filled anew.
-MEMORY_WORDS = 200_000
+#: Words kept with their tokens by a worker process, twice: when the younger memory is full it becomes the older one, from
+#: which words in use come back, and what was in the older one is forgotten.
+MEMORY_WORDS = 300_000
 
 
 def byte_letters() -> dict[str, int]:
@@ -65,6 +66,7 @@ class TrieEncoder:
         self.cut = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")").split if self.special else None
         self.pairs: dict[int, bool] = {}
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def may_follow(self, a: int, b: int) -> bool:
         """Whether encoding the bytes of a and b together gives a, b. Undoes the latest merges at the border
@@ -93,7 +95,7 @@ class TrieEncoder:
 
     def walk(self, words) -> dict[str, bytes]:
         """Distinct words to their token ids (packed as 32-bit integers), by a depth-first walk of their trie."""
-        vocab, longest, may_follow, bytes_of = self.vocab, self.longest, self.may_follow, self.bytes_of
+        get, longest, may_follow, bytes_of = self.vocab.get, self.longest, self.may_follow, self.bytes_of
         out: dict[str, bytes] = {}
         before, last = b"", [-1]  # last[d]: last token of the prefix of d bytes on the current path
         for word, text in sorted((w.encode(), w) for w in words):
@@ -103,9 +105,15 @@ class TrieEncoder:
                 shared += 1
             del last[shared + 1 :]
             for d in range(shared + 1, n + 1):
-                for size in range(min(d, longest[word[d - 1]]), 0, -1):
-                    t = vocab.get(word[d - size : d])
-                    if t is not None and (size == d or may_follow(last[d - size], t)):
+                # Only one token can be the last, so the order of trying is free: the last one grown by this byte comes first
+                grown = len(bytes_of[last[d - 1]]) + 1 if d > 1 else 1
+                t = get(word[d - grown : d])
+                if t is not None and (grown == d or may_follow(last[d - grown], t)):
+                    last.append(t)
+                    continue
+                for size in range(1, min(d, longest[word[d - 1]]) + 1):
+                    t = get(word[d - size : d])
+                    if t is not None and size != grown and (size == d or may_follow(last[d - size], t)):
                         last.append(t)
                         break
             ids, d = [], n
@@ -124,11 +132,12 @@ class TrieEncoder:
         split = []
         for text in texts:
             split.append([(p, None) if p in self.special else (p, self.find(p)) for p in self._parts(text)])
+        if len(self.known) > MEMORY_WORDS:
+            self.known, self.older = {}, self.known
         new = {w for parts in split for _, ws in parts if ws for w in ws} - self.known.keys()
-        if len(self.known) + len(new) > MEMORY_WORDS:
-            self.known = {}
-            new = {w for parts in split for _, ws in parts if ws for w in ws}
-        self.known.update(self.walk(new))
+        back = new & self.older.keys()
+        self.known.update((w, self.older[w]) for w in back)
+        self.known.update(self.walk(new - back))
         of = self.known.__getitem__
         return [b"".join(array("I", [self.special[p]]).tobytes() if ws is None else b"".join(map(of, ws)) for p, ws in parts) for parts in split]
 
