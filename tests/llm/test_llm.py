@@ -562,3 +562,24 @@ def test_pipeline_keeps_rows_without_id(spark):
     df = odd_rows(spark).select(*[c.split()[0] for c in DOC.split(", ")])
     out = p.drop_near_duplicates(spark, df, "").collect()
     assert sorted([str(r.doc_id) for r in out]) == sorted(["1", "2", "3", "4", "5", "6", "7", "None"])
+
+
+def test_bloom_filter_has_no_false_negatives(spark):
+    from quillgraph.llm.bloom import Bloom
+
+    rs = np.random.RandomState(11)
+    ids = rs.randint(-(1 << 62), 1 << 62, 5000)
+    own = Bloom(spark.createDataFrame([(int(i),) for i in ids] + [(None,)], "id long"), "id")
+    assert own.mask(ids).all() and own.mask(rs.randint(-(1 << 62), 1 << 62, 20_000)).mean() < 0.05
+    df = spark.createDataFrame([(int(ids[0]),), (None,)], "id long").withColumn("m", own.column("id"))
+    assert [r.m for r in df.collect()] == [True, False]
+
+
+def test_keep_one_of_repeated_rows(spark):
+    from quillgraph.llm.near_dup import keep_one
+
+    rs = np.random.RandomState(12)
+    text = make_text(rs, 200)
+    rows = [(1, text, "", "a", 1), (2, text, "", "a", 1), (1, text, "", "a", 1), (3, make_text(rs, 200, [f"u{i}" for i in range(500)]), "", "a", 1), (None, text, "", "a", 1)]
+    got = sorted(str(r.doc_id) for r in keep_one(spark.createDataFrame(rows, DOC)).collect())
+    assert got == ["1", "3", "None"]
