@@ -159,6 +159,16 @@ class Engine:
             rows = rows.withColumn("answer", ask(context, "question", "answer"))
         return rows.select("query_id", "question", "n_chunks", F.size("entities").alias("n_entities"), "answer")
 
+    def batch_query(self, dataset: DataFrame, prior: DataFrame | None = None, offset: int = 0, limit: int | None = None) -> DataFrame:
+        """dataset: row_idx, question; prior: question, answer, line. Answers of the rows from offset on (at most limit) that
+        have none yet; fallback answers and empty questions leave an empty answer and count as failed."""
+        none = self.spark.createDataFrame([], "question string, answer string, line long")
+        rows = qa.resume(dataset, prior if prior is not None and self.settings.batch.resume else none)
+        work = qa.worklist(rows, offset, limit).where(F.coalesce("question", F.lit("")) != "")
+        got = self.answer(work.select(F.col("row_idx").alias("query_id"), "question")).select(F.col("query_id").alias("row_idx"), F.when(qa.is_fallback(F.col("answer")) | (F.col("answer") == qa.NOT_FOUND), F.lit("")).otherwise(F.col("answer")).alias("new"))
+        out = rows.join(got, "row_idx", "left").withColumn("failed", F.coalesce(F.col("new") == "", F.lit(False)))
+        return out.select("row_idx", "question", F.coalesce(F.nullif("new", F.lit("")), "answer").alias("answer"), "failed")
+
     # -------------------------------------------------------------- state
 
     def get_statistics(self) -> dict:
