@@ -170,7 +170,7 @@ def test_sources_and_sinks(spark, tmp_path):
     sources.write_markdown(docs, str(tmp_path / "md"))
     assert (tmp_path / "md" / "x_y.md").read_text() == "text"
     sources.write_report(docs, str(tmp_path / "report"))
-    row = json.loads(next((tmp_path / "report").glob("*.json")).read_text().splitlines()[0])
+    row = json.loads("".join(f.read_text() for f in (tmp_path / "report").glob("*.json")).splitlines()[0])
     assert row["metadata"] == {"quality_score": 0.5}
     nodes = spark.createDataFrame([("A", "t", None, 0), ("B", None, None, None)], "name string, type string, description string, community_id int")
     edges = spark.createDataFrame([("A", "B", "r", None), ("B", "A", "q", None)], "source string, target string, relation string, description string")
