@@ -2,9 +2,10 @@
 
 Tokens are the elements of a page, named by their path of tags and class names, and its text blocks. A token's
 occurrence vector is how often it stands in each page of its host; the exclusive or of a hash per page stands for it, so that vectors can be
-put together across tasks. Element tokens of one host with equal vectors form a class; a class is valid if it occurs in at
-least half of the pages, and it nests in the template if the parent of each token is in it as well. What lies between
-template tokens are slots; text of a slot is data unless the same block stands once in every page of the host.
+put together across tasks. Element tokens of one host with equal vectors form a class; a class is valid if it has two tokens
+at least (or an article or main element) and occurs in at least half of the pages, and a token of it is in the template if
+its parent is as well. A slot lies between two template tokens inside one template element; what a page has there, elements
+that are not in the template included, is data, except text blocks that stand once in every page of the host.
 The main slot is the deepest template element that holds most of the host's running text outside of menus, headers,
 footers, sidebars, notices, adverts, forms and reader comments.
 """
@@ -72,10 +73,10 @@ def surrounds(tag: str, attrs: dict[str, str], in_main: bool) -> bool:
 class Block:
     """A run of text between borders of blocks: its text, where it stands, and how much of it is in links."""
 
-    __slots__ = ("text", "path", "around", "linked")
+    __slots__ = ("text", "path", "around", "linked", "opened")
 
-    def __init__(self, text: str, path: tuple, around: bool, linked: int):
-        self.text, self.path, self.around, self.linked = text, path, around, linked
+    def __init__(self, text: str, path: tuple, around: bool, linked: int, opened: int):
+        self.text, self.path, self.around, self.linked, self.opened = text, path, around, linked, opened
 
 
 _named: dict = {}
@@ -92,11 +93,12 @@ def token(parent: int, name: str) -> int:
     return found
 
 
-def parse(source: str) -> tuple[list[Block], dict[int, int], dict[int, tuple[int, str]]]:
-    """Blocks in page order, how often each element token occurs, and each token's parent and tag."""
+def parse(source: str) -> tuple[list[Block], dict[int, int], dict[int, tuple[int, str]], list[int]]:
+    """Blocks in page order, how often each element token occurs, each token's parent and tag, and tokens as they open."""
     blocks: list[Block] = []
     counts: dict[int, int] = defaultdict(int)
     parents: dict[int, tuple[int, str]] = {}
+    order: list[int] = []
     stack: list[tuple[str, int, bool]] = []  # block elements: tag, token, around
     inline: list[str] = []
     text: list[str] = []
@@ -108,7 +110,7 @@ def parse(source: str) -> tuple[list[Block], dict[int, int], dict[int, tuple[int
         if text:
             joined = " ".join(html_lib.unescape("".join(text)).split())
             if joined:
-                blocks.append(Block(joined, path, bool(stack) and stack[-1][2], linked if size else 0))
+                blocks.append(Block(joined, path, bool(stack) and stack[-1][2], linked if size else 0, len(order)))
             text.clear()
         linked = size = 0
 
@@ -165,13 +167,14 @@ def parse(source: str) -> tuple[list[Block], dict[int, int], dict[int, tuple[int
         name = tag + "." + _digits.sub("#", attrs.get("class", "")) if "class" in attrs else tag
         own = token(parent, name)
         counts[own] += 1
+        order.append(own)
         parents[own] = (parent, tag)
         stack.append((tag, own, around))
         path = tuple(s[1] for s in stack)
     if at < len(source):
         text.append(source[at:])
     end_block()
-    return blocks, counts, parents
+    return blocks, counts, parents, order
 
 
 def text_token(block: Block) -> int:
@@ -199,19 +202,38 @@ def weigh(blocks: list[Block]) -> dict[int, int]:
     return out
 
 
+def slots(blocks: list[Block], order: list[int], template: set[int]) -> list[tuple[tuple[int, int], list[Block]]]:
+    """Blocks by slot in page order. A slot is named by the template element it lies in and the last one opened before it."""
+    out: list[tuple[tuple[int, int], list[Block]]] = []
+    at = last = 0
+    for b in blocks:
+        while at < b.opened:
+            last = order[at] if order[at] in template else last
+            at += 1
+        name = (next((t for t in reversed(b.path) if t in template), 0), last)
+        if not out or out[-1][0] != name:
+            out.append((name, []))
+        out[-1][1].append(b)
+    return out
+
+
 def main_text(source: str | None, main: int | None, template: set[int], fixed: set[int]) -> str:
-    """The data of the main slot. A page in which the host's main slot is missing chooses by itself."""
+    """The data of the slots in the main element. A page in which the host's main element is missing chooses by itself."""
     if not source:
         return ""
-    blocks, counts, parents = parse(source)
+    blocks, counts, parents, order = parse(source)
     if not main or main not in counts:
         weights = weigh(blocks)
         depth: dict[int, int] = {0: 0}
         for t, (p, _) in parents.items():  # parents come first
             depth[t] = depth.get(p, 0) + 1
         own = [(t, p, tag, weights.get(t, 0), depth[t]) for t, (p, tag) in parents.items()]
-        main = choose_main(own, {t for t in counts if counts[t] == 1 or parents[t][1] in MAIN_TAGS})
-    keep = [b for b in blocks if not b.around and (not main or main in b.path)]
+        template = {t for t in counts if counts[t] == 1 or parents[t][1] in MAIN_TAGS}
+        main = choose_main(own, template)
+    inside = {0: not main}
+    for t, (p, _) in parents.items():
+        inside[t] = t == main or inside.get(p, not main)
+    keep = [b for (around, _), run in slots(blocks, order, template) if inside[around] for b in run if not b.around]
     data = [b for b in keep if not fixed or text_token(b) not in fixed]
     return "\n".join(b.text for b in (data or keep))
 
@@ -220,7 +242,7 @@ PART = "host string, tok long, kind int, vec long, pages long, occ long, chars l
 
 
 def deduce(pages: DataFrame, min_fixed_pages: int = 10) -> DataFrame:
-    """pages: page_id, host, html. A row per host: template tokens, fixed text blocks and the main slot."""
+    """pages: page_id, host, html. A row per host: the tokens that can be in its template."""
 
     def count(batches):
         for batch in batches:
@@ -230,8 +252,8 @@ def deduce(pages: DataFrame, min_fixed_pages: int = 10) -> DataFrame:
                 seen: dict[str, int] = defaultdict(int)
                 for i in range(a, b):
                     host, page = hosts[i].as_py(), keys[i].as_py()
+                    blocks, counts, parents, _ = parse(source[i].as_py() or "")
                     seen[host] += 1
-                    blocks, counts, parents = parse(source[i].as_py() or "")
                     weights = weigh(blocks)
                     depth: dict[int, int] = {0: 0}
                     once = np.uint64((hash((page, i, 0x5BD1)) if page is None else page) & 0xFFFFFFFFFFFFFFFF)
@@ -275,8 +297,8 @@ def deduce(pages: DataFrame, min_fixed_pages: int = 10) -> DataFrame:
     # A host's rows that can be in its template: few, as each is in at least half of its pages
     n = total.where("kind = 2").select("host", F.col("pages").alias("n"))
     kept = total.where("kind < 2").join(n, "host").where(f"(kind = 0 AND pages * 2 >= n) OR (kind = 1 AND pages = n AND occ = n AND n >= {min_fixed_pages})")
-    one = F.collect_list(F.struct("kind", "tok", "vec", "occ", "chars", "parent", "tag", "depth"))
-    return kept.groupBy("host").agg(one.alias("tokens"), F.max("n").alias("n"))
+    one = F.collect_list(F.struct("kind", "tok", "vec", "chars", "parent", "tag", "depth"))
+    return kept.groupBy("host").agg(one.alias("tokens"))
 
 
 def template_of(tokens: list[dict]) -> tuple[int, set[int], set[int]]:
@@ -286,8 +308,8 @@ def template_of(tokens: list[dict]) -> tuple[int, set[int], set[int]]:
     for t in elements.values():
         classes[t["vec"]].append(t["tok"])
     template: set[int] = set()
-    for t in sorted(elements.values(), key=lambda t: t["depth"]):  # outer classes first: a class nests in what holds it
-        if (t["parent"] == 0 or t["parent"] in template) and (len(classes[t["vec"]]) >= 2 or t["tag"] in MAIN_TAGS or t["parent"] in template):
+    for t in sorted(elements.values(), key=lambda t: t["depth"]):  # outer tokens first: a token nests in its parent
+        if (t["parent"] == 0 or t["parent"] in template) and (len(classes[t["vec"]]) >= 2 or t["tag"] in MAIN_TAGS):
             template.add(t["tok"])
     rows = [(t["tok"], t["parent"], t["tag"], t["chars"], t["depth"]) for t in elements.values()]
     return choose_main(rows, template), template, {t["tok"] for t in tokens if t["kind"] == 1}

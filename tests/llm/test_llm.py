@@ -76,6 +76,20 @@ def test_html_text_of_the_generated_pages(spark):
         assert r.text == "\n".join(b for b in blocks if b)
 
 
+def test_html_template_needs_valid_classes(spark):
+    from quillgraph.llm.html_text import extract
+
+    # The inner element is in 18 of 20 pages with a vector that no other token has: data of the wrapper's slot, not a template
+    rows, want = [], {}
+    for i in range(20):
+        long, short = f"Long words of page {i} and more" + " words" * 40, f"Closing words of page {i}"
+        inner = f"<p>{long}</p>" * (1 + i % 3)
+        rows.append((i, f"http://c.org/{i}", page(f'<div class="wrap"><div class="{"text" if i % 10 else "plain"}">{inner}</div><p>{short}</p></div>')))
+        want[i] = "\n".join([long] * (1 + i % 3) + [short])
+    got = extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert {r.page_id: r.text for r in got} == want
+
+
 # ------------------------------------------------------------------ 2 mixing
 
 
