@@ -5,7 +5,8 @@ occurrence vector is how often it stands in each page of its host; the exclusive
 put together across tasks. Element tokens of one host with equal vectors form a class; a class is valid if it has two tokens
 at least (or an article or main element) and occurs in at least half of the pages, and a token of it is in the template if
 its parent is as well. A slot lies between two template tokens inside one template element; what a page has there, elements
-that are not in the template included, is data, except text blocks that stand once in every page of the host.
+that are not in the template included, is data, except text blocks that are template tokens themselves: those in at least
+half of the pages that hold the main slot.
 The main slot is the deepest template element that holds most of the host's running text outside of menus, headers,
 footers, sidebars, notices, adverts, forms and reader comments.
 """
@@ -241,8 +242,10 @@ def main_text(source: str | None, main: int | None, template: set[int], fixed: s
 PART = "host string, tok long, kind int, vec long, pages long, occ long, chars long, parent long, tag string, depth int"
 
 
-def deduce(pages: DataFrame, min_fixed_pages: int = 10) -> DataFrame:
-    """pages: page_id, host, html. A row per host: the tokens that can be in its template."""
+def deduce(pages: DataFrame, min_fixed_pages: int = 3) -> DataFrame:
+    """pages: page_id, host, html. A row per host: the tokens that can be in its template. A text block counts from min_fixed_pages
+    pages that hold it; pages that are null or empty count for nothing."""
+    from .common import Scratch
 
     def count(batches):
         for batch in batches:
@@ -253,6 +256,8 @@ def deduce(pages: DataFrame, min_fixed_pages: int = 10) -> DataFrame:
                 for i in range(a, b):
                     host, page = hosts[i].as_py(), keys[i].as_py()
                     blocks, counts, parents, _ = parse(source[i].as_py() or "")
+                    if not blocks and not counts:
+                        continue
                     seen[host] += 1
                     weights = weigh(blocks)
                     depth: dict[int, int] = {0: 0}
@@ -267,17 +272,11 @@ def deduce(pages: DataFrame, min_fixed_pages: int = 10) -> DataFrame:
                             s[1] += 1
                             s[2] += n
                             s[3] += weights.get(t, 0)
-                    texts: dict[int, int] = defaultdict(int)
-                    for x in blocks:
-                        texts[text_token(x)] += 1
-                    for t, n in texts.items():
-                        s = sums.setdefault((host, t, 1), [0, 0, 0, 0, 0, None, 0])
-                        s[1] += 1
-                        s[2] += n
+                    for t in {text_token(x) for x in blocks if not x.around}:
+                        sums.setdefault((host, t, 1), [0, 0, 0, 0, 0, None, 0])[1] += 1
                 for host, n in seen.items():
                     sums[(host, 0, 2)] = [0, n, n, 0, 0, None, 0]
-                # A block that is missing in one page of a host isn't fixed: it needn't be passed on
-                rows = [(k, s) for k, s in sums.items() if k[2] != 1 or (s[1] == s[2] == seen[k[0]])]
+                rows = list(sums.items())
                 signed = np.array([s[0] for _, s in rows], np.uint64).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -294,10 +293,12 @@ def deduce(pages: DataFrame, min_fixed_pages: int = 10) -> DataFrame:
 
     parts = pages.select("page_id", "host", "html").mapInArrow(count, PART)
     total = parts.groupBy("host", "kind", "tok").agg(F.bit_xor("vec").alias("vec"), *[F.sum(c).alias(c) for c in ("pages", "occ", "chars")], F.max("parent").alias("parent"), F.max("tag").alias("tag"), F.max("depth").alias("depth"))
-    # A host's rows that can be in its template: few, as each is in at least half of its pages
+    total = Scratch(pages.sparkSession).table(total.where(f"kind <> 1 OR pages >= {min_fixed_pages}"), few=True)
+    # A host's rows that can be in its template: few, as each is in a quarter of its pages (text: half of the pages that hold
+    # the main slot, which are half of all at least)
     n = total.where("kind = 2").select("host", F.col("pages").alias("n"))
-    kept = total.where("kind < 2").join(n, "host").where(f"(kind = 0 AND pages * 2 >= n) OR (kind = 1 AND pages = n AND occ = n AND n >= {min_fixed_pages})")
-    one = F.collect_list(F.struct("kind", "tok", "vec", "chars", "parent", "tag", "depth"))
+    kept = total.where("kind < 2").join(n, "host").where("pages * IF(kind = 0, 2, 4) >= n")
+    one = F.collect_list(F.struct("kind", "tok", "vec", "pages", "n", "chars", "parent", "tag", "depth"))
     return kept.groupBy("host").agg(one.alias("tokens"))
 
 
@@ -312,14 +313,17 @@ def template_of(tokens: list[dict]) -> tuple[int, set[int], set[int]]:
         if (t["parent"] == 0 or t["parent"] in template) and (len(classes[t["vec"]]) >= 2 or t["tag"] in MAIN_TAGS):
             template.add(t["tok"])
     rows = [(t["tok"], t["parent"], t["tag"], t["chars"], t["depth"]) for t in elements.values()]
-    return choose_main(rows, template), template, {t["tok"] for t in tokens if t["kind"] == 1}
+    main = choose_main(rows, template)
+    held = elements[main]["pages"] if main else max((t["n"] for t in tokens), default=0)
+    return main, template, {t["tok"] for t in tokens if t["kind"] == 1 and t["pages"] * 2 >= held}
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", max_broadcast_tokens: int = 200_000) -> DataFrame:
     """page_id, url, text, n_chars of every page from its whole html.
 
     Templates (a row per host) are broadcast if they have at most `max_broadcast_tokens` tokens altogether, else joined
-    by host with salt. Defined results: null or empty html gives an empty text; pages without url share one host; a page
+    by host with salt. Text of the main slot that at least three pages and half of the pages with the main slot share is
+    left out, unless nothing else is there. Defined results: null or empty html gives an empty text; pages without url share one host; a page
     alone on its host is read by its own elements; br is white space inside its block; text outside any element counts;
     tags that are never closed end with what holds them; rows that repeat are each extracted; other columns are
     ignored; an empty table gives no rows.

@@ -90,6 +90,19 @@ def test_html_template_needs_valid_classes(spark):
     assert {r.page_id: r.text for r in got} == want
 
 
+def test_html_fixed_text_by_share_of_pages(spark):
+    from quillgraph.llm.html_text import extract
+
+    # Null and empty pages, one without the notice, one that repeats it, one laid out differently; and a host of nine pages
+    notice = "<p>All rights are with the house</p>"
+    rows = [(i, f"http://f.org/{i}", page(f"<article><h1>Head {i}</h1><p>Text {i}</p>{notice * ((i != 3) + (i == 4))}</article>")) for i in range(12)]
+    rows += [(12, "http://f.org/n", None), (13, "http://f.org/e", ""), (14, "http://f.org/x", page("<div><p>Error 14</p></div>"))]
+    rows += [(i, f"http://g.org/{i}", page(f"<article><h1>Head {i}</h1><p>Text {i}</p>{notice}</article>")) for i in range(20, 29)]
+    text = {r.page_id: r.text for r in extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(text[i] == f"Head {i}\nText {i}" for i in (*range(12), *range(20, 29)))
+    assert text[12] == text[13] == "" and text[14] == "Error 14"
+
+
 # ------------------------------------------------------------------ 2 mixing
 
 
