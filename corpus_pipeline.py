@@ -26,8 +26,8 @@ def drop_low_quality(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group: that of the smallest doc_id, and one row of it. Rows without doc_id stay."""
-    return near_dup.keep_one(docs)
+    """One document of each group linked at 0.80 or more: that of the smallest doc_id, and one row of it. Rows without doc_id stay."""
+    return near_dup.keep_one(docs, percent=80)
 
 
 def mix_sources(spark, docs: DataFrame, sf_dir: str) -> DataFrame:

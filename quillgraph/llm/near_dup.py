@@ -297,11 +297,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
-    """The documents with one row of each group, that of its smallest doc_id; rows without doc_id stay. Rows that surely stay
+def keep_one(docs: DataFrame, percent: int = 85) -> DataFrame:
+    """The documents with one row of each group of near_duplicates, that of its smallest doc_id; rows without doc_id stay. Rows that surely stay
     are told by a Bloom filter of all others, so that only texts of groups are shuffled for the exact decision."""
     scratch = Scratch(docs.sparkSession)
-    found = near_duplicates(docs).where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n"), F.max("kept").alias("kept"))
+    found = near_duplicates(docs, percent=percent).where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n"), F.max("kept").alias("kept"))
     odd = scratch.table(found.where("NOT kept OR n > 1"), few=True)
     maybe = Bloom(odd, "doc_id").column("doc_id")
     marked = docs.withColumn("maybe_", maybe)

@@ -610,3 +610,16 @@ def test_keep_one_of_repeated_rows(spark):
     rows = [(1, text, "", "a", 1), (2, text, "", "a", 1), (1, text, "", "a", 1), (3, make_text(rs, 200, [f"u{i}" for i in range(500)]), "", "a", 1), (None, text, "", "a", 1)]
     got = sorted(str(r.doc_id) for r in keep_one(spark.createDataFrame(rows, DOC)).collect())
     assert got == ["1", "3", "None"]
+
+
+def test_pipeline_links_near_copies_at_80_percent(spark):
+    import corpus_pipeline as p
+    from quillgraph.llm.near_dup import near_duplicates
+
+    # 196 shingles each: 176 of 216 are shared (0.815) by 1 and 2, 172 of 220 (0.782) by 3 and 4
+    words = [f"w{i}" for i in range(400)]
+    a, b = words[:200], words[200:]
+    texts = [a, a[:180] + [f"x{i}" for i in range(20)], b, b[:176] + [f"y{i}" for i in range(24)]]
+    df = spark.createDataFrame([(i, " ".join(t), "", "a", 1) for i, t in enumerate(texts, 1)], DOC)
+    assert all(r.kept for r in near_duplicates(df).collect())
+    assert sorted(r.doc_id for r in p.drop_near_duplicates(spark, df, "").collect()) == [1, 3, 4]
