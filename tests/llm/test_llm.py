@@ -540,6 +540,27 @@ def test_lm_probabilities_do_not_exceed_one():
     assert ((10**table).sum(axis=0) + 10**escape <= 1 + 1e-6).all()
 
 
+def test_lm_words_outside_the_dictionary_keep_their_counts(spark):
+    from quillgraph.llm.lm import held_out, score, shared_out
+
+    # Two spellings that look alike, one seen 30 times as often as the other, both outside of a dictionary of few words
+    rs = np.random.RandomState(13)
+    common = [make_text(rs, 60, ["alpha", "beta", "gamma"]) for _ in range(400)]
+    rare = [f"qz{i:03d}" for i in range(100)]
+    for k, w in enumerate(rare):
+        for j in range(30 if k % 2 else 1):
+            common[(k * 7 + j * 3) % 400] += " " + w
+    df = spark.createDataFrame([(i, t, "en", "a", 1) for i, t in enumerate(common)], DOC).withColumn("out", held_out("doc_id")).where("NOT out").drop("out")
+    asked = [r.i for r in spark.range(10_000, 10_400).select(F.col("id").alias("i"), held_out("id").alias("o")).collect() if r.o][:60]
+    probes = spark.createDataFrame([(i, rare[20 + k], "en", "a", 1) for k, i in enumerate(asked)], DOC)
+    got = {r.doc_id: r.score for r in score(df.unionByName(probes), max_dictionary=4).collect()}
+    often, seldom = ([got[i] for k, i in enumerate(asked) if k % 2 == x] for x in (1, 0))
+    assert np.mean(often) > np.mean(seldom) + 0.7
+    # What all words can get is at most 1
+    c, spelled = np.array([30, 1, 2, 0, 0]), np.log10([0.1, 0.2, 0.3, 0.2, 0.1])
+    assert (10 ** shared_out(c, spelled, 33.0, 3.0, 0.5)).sum() <= 1
+
+
 def test_lm_without_training_documents(spark):
     from quillgraph.llm.lm import score
 
