@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quillgraph import sources
@@ -129,12 +129,17 @@ class Engine:
         model (or the fallback answer) on Arrow batches."""
         found = self.retrieve(questions)
         per = found.groupBy("query_id").agg(F.count("*").alias("n_chunks"), F.array_sort(F.collect_list(F.struct("rank", "chunk_id", "text"))).alias("c"))
-        terms = questions.select("query_id", F.explode(qa.query_terms("question")).alias("term")).distinct()
+        terms = questions.select("query_id", F.posexplode(qa.query_terms("question")).alias("t", "term")).groupBy("query_id", "term").agg(F.min("t").alias("t"))
         names = self.nodes.select("name", F.lower("name").alias("low"))
         # A term matches names that hold it. Terms have three characters at least: their first three meet the names' trigrams
         grams = names.where("length(low) > 2").select("name", "low", F.explode(F.expr("array_distinct(transform(sequence(1, length(low) - 2), i -> substring(low, i, 3)))")).alias("gram"))
-        hits = terms.withColumn("gram", F.substring("term", 1, 3)).join(grams, "gram").where(F.contains("low", "term")).select("query_id", "name").distinct()
-        entities = hits.groupBy("query_id").agg(F.slice(F.array_sort(F.collect_list("name")), 1, self.settings.retrieval.max_entities).alias("entities"))
+        hits = terms.withColumn("gram", F.substring("term", 1, 3)).join(grams, "gram").where(F.contains("low", "term")).select("query_id", "t", "name").distinct()
+        # As match_entities: the first names of each term, terms in their order, first seen counts
+        most = self.settings.retrieval.max_entities
+        first = hits.withColumn("rn", F.row_number().over(Window.partitionBy("query_id", "t").orderBy("name"))).where(F.col("rn") <= most)
+        first = first.groupBy("query_id", "name").agg(F.min(F.struct("t", "rn")).alias("at"))
+        ranked = F.array_sort(F.collect_list(F.struct("at", "name")))
+        entities = first.groupBy("query_id").agg(F.transform(F.slice(ranked, 1, most), lambda x: x["name"]).alias("entities"))
         none = F.array().cast("array<string>")
         rows = questions.join(per, "query_id", "left").join(entities, "query_id", "left")
         rows = rows.withColumns({"entities": F.coalesce("entities", none), "n_chunks": F.coalesce("n_chunks", F.lit(0))})

@@ -227,3 +227,15 @@ def test_catalogue_imports_without_the_pipeline_package():
     import __spark_entry__ as entry
 
     assert {"quality_score", "khop_neighbors"} <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_answer_ranks_entities_as_one_question_does(spark):
+    e = Engine(spark)
+    e.load_documents({"d": "Text."})
+    e.chunk_documents()
+    names = [f"Alpha {i:02d}" for i in range(12)] + ["Zeta One", "Zeta Two"]
+    e.use_graph(spark.createDataFrame([(n, "T", "") for n in names], "name string, type string, description string"), spark.createDataFrame([], "source string, target string, relation string"))
+    question = "zeta and alpha"
+    got = e.answer(spark.createDataFrame([(1, question)], "query_id long, question string")).first()
+    assert got.n_entities == 10 and "实体: Zeta One, Zeta Two, Alpha 00, Alpha 01, Alpha 02。" in got.answer
+    assert got.answer == e.query(question)
