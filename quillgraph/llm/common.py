@@ -81,10 +81,18 @@ class Scratch:
 
     def drop(self, *tables) -> None:
         """Removes tables that nothing reads any more."""
-        jvm = self.spark._jvm
         for t in tables:
-            path = jvm.org.apache.hadoop.fs.Path(t.quill_path)
-            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+            self._delete(t.quill_path)
+
+    def last(self, df):
+        """The result as read from its own table, after all other tables of this scratch space are removed."""
+        out = Scratch(self.spark).table(df)
+        self._delete(self.base)
+        return out
+
+    def _delete(self, folder: str) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 # ---------------------------------------------------------------- words of Arrow strings
