@@ -1,14 +1,17 @@
 """Main text of HTML pages by equivalence classes of template tokens.
 
-Tokens are the elements of a page, named by their path of tags and class names, and its text blocks. A token's
-occurrence vector is how often it stands in each page of its host; the exclusive or of a hash per page stands for it, so that vectors can be
-put together across tasks. Element tokens of one host with equal vectors form a class; a class is valid if it has two tokens
-at least (or an article or main element) and occurs in at least half of the pages, and a token of it is in the template if
-its parent is as well. A slot lies between two template tokens inside one template element; what a page has there, elements
-that are not in the template included, is data, except text blocks that are template tokens themselves: those in at least
-half of the pages that hold the main slot.
+Tokens are the elements of a page, named by their path of tags and class names (of names that differ in digits only, elements of
+one parent are told apart by their order), and texts: of a block, and of a box that stands once in its page. A token's
+occurrence vector is how often it stands in each page of its host; sums of a hash per page and count stand for it, so that
+vectors can be put together across tasks. Element tokens of one host with equal vectors form a class; a class is valid if it
+has two tokens at least (or an article or main element) and occurs in at least half of the pages, and a token of it is in
+the template if its parent is as well. A slot lies between two template tokens inside one template element; what a page has
+there, elements that are not in the template included, is data.
 The main slot is the deepest template element that holds most of the host's running text outside of menus, headers,
-footers, sidebars, notices, adverts, forms and reader comments.
+footers, sidebars, notices, adverts, forms and reader comments. In it two kinds of texts are template: those of a box (not of a
+paragraph) that at least half of the pages with the main slot have alike but for digits, if it is less than a third of the page's text; and
+the blocks that close the slot word for word alike on half of those pages. A sentence that articles share at any
+other place is theirs.
 """
 
 from __future__ import annotations
@@ -23,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix, pieces, read, ship
+from .common import Scratch, mix, pieces, read, ship
 from .urls import split_url
 
 # Elements by the way they are laid out, and names of what surrounds an article.
@@ -40,6 +43,10 @@ AROUND = frozenset(
     " consent respond replies discussion disqus copyright colophon skip".split()
 )
 AROUND_START = ("comment", "advert", "sponsor", "navig", "breadcrumb", "sidebar", "cookie", "footer", "newsletter", "subscri", "recommend", "related", "share", "sharing", "social", "promo", "popup", "banner", "masthead", "menu", "widget")
+#: Inside an article a class name is that of a surrounding only if all its other words are such as these.
+HOLDERS = frozenset("bar box block buttons button links link list items item posts section widget banner popup panel container wrapper wrap area form slot unit icons icon holder inner outer count".split())
+#: Elements that can be a box of fixed text.
+BOXES = frozenset("div section ul ol dl table figure details center dir".split())
 CLOSES = {"li": {"li"}, "p": {"p"}, "dd": {"dd", "dt"}, "dt": {"dd", "dt"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 MAIN_TAGS = ("article", "main")
 _LISTS = frozenset("ul ol dl table".split())
@@ -66,7 +73,11 @@ def surrounds(tag: str, attrs: dict[str, str], in_main: bool) -> bool:
         words = [w for w in re.split(r"[^a-z]+", name) if w]
         if words and words[0] in ("with", "has", "no", "without"):
             continue
-        if any(w in AROUND or w.startswith(AROUND_START) or (w == "header" and not in_main) for w in words):
+        named = [w in AROUND or w.startswith(AROUND_START) or (w == "header" and not in_main) for w in words]
+        if in_main:
+            if named and named[0] and all(n or w in HOLDERS for n, w in zip(named, words, strict=True)):
+                return True
+        elif any(named):
             return True
     return False
 
@@ -100,7 +111,7 @@ def parse(source: str) -> tuple[list[Block], dict[int, int], dict[int, tuple[int
     counts: dict[int, int] = defaultdict(int)
     parents: dict[int, tuple[int, str]] = {}
     order: list[int] = []
-    stack: list[tuple[str, int, bool]] = []  # block elements: tag, token, around
+    stack: list[tuple[str, int, bool, dict]] = []  # block elements: tag, token, around, children so far by name
     inline: list[str] = []
     text: list[str] = []
     linked = size = 0
@@ -165,12 +176,18 @@ def parse(source: str) -> tuple[list[Block], dict[int, int], dict[int, tuple[int
         in_main = any(s[0] in MAIN_TAGS for s in stack)
         around = (bool(stack) and stack[-1][2]) or surrounds(tag, attrs, in_main)
         parent = stack[-1][1] if stack else 0
-        name = tag + "." + _digits.sub("#", attrs.get("class", "")) if "class" in attrs else tag
+        name = tag
+        if "class" in attrs:
+            name = tag + "." + _digits.sub("#", attrs["class"])
+            if "#" in name and stack:
+                before = stack[-1][3]
+                before[name] = before.get(name, 0) + 1
+                name = f"{name}@{before[name]}"
         own = token(parent, name)
         counts[own] += 1
         order.append(own)
         parents[own] = (parent, tag)
-        stack.append((tag, own, around))
+        stack.append((tag, own, around, {}))
         path = tuple(s[1] for s in stack)
     if at < len(source):
         text.append(source[at:])
@@ -182,6 +199,22 @@ def text_token(block: Block) -> int:
     return int.from_bytes(hashlib.blake2b(f"{block.path[-1] if block.path else 0}|{block.text}".encode(), digest_size=8).digest(), "little", signed=True)
 
 
+def boxes(blocks: list[Block], counts: dict[int, int], parents: dict[int, tuple[int, str]]) -> dict[int, tuple[int, int]]:
+    """Of each box that stands once in the page: a token of its text with digits as one sign, and how long the text is."""
+    out: dict[int, list[int]] = {}
+    for b in blocks:
+        if b.around:
+            continue
+        h = 0
+        for t in b.path:
+            if counts[t] == 1 and parents[t][1] in BOXES:
+                h = h or int.from_bytes(hashlib.blake2b(_digits.sub("#", b.text).encode(), digest_size=8).digest(), "little")
+                s = out.setdefault(t, [t & (2**64 - 1), 0])
+                s[0] = (s[0] * 0x9E3779B97F4A7C15 + h) & (2**64 - 1)
+                s[1] += len(b.text)
+    return {t: (h - (1 << 64) if h >> 63 else h, n) for t, (h, n) in out.items()}
+
+
 def choose_main(rows: list[tuple[int, int, str, int, int]], template: set[int]) -> int:
     """rows: token, parent, tag, running text in and below it, depth. The deepest template element that holds at least
     70 % of the running text; an article or main element comes first."""
@@ -235,17 +268,22 @@ def main_text(source: str | None, main: int | None, template: set[int], fixed: s
     for t, (p, _) in parents.items():
         inside[t] = t == main or inside.get(p, not main)
     keep = [b for (around, _), run in slots(blocks, order, template) if inside[around] for b in run if not b.around]
-    data = [b for b in keep if not fixed or text_token(b) not in fixed]
+    if not fixed:
+        return "\n".join(b.text for b in keep)
+    length = sum(len(b.text) for b in keep)
+    alike = {t for t, (h, n) in boxes(blocks, counts, parents).items() if h in fixed and t != main and inside[t] and 3 * n < length}
+    data = [b for b in keep if alike.isdisjoint(b.path)]
+    while data and text_token(data[-1]) in fixed:
+        data.pop()
     return "\n".join(b.text for b in (data or keep))
 
 
-PART = "host string, tok long, kind int, vec long, pages long, occ long, chars long, parent long, tag string, depth int"
+PART = "host string, tok long, kind int, low long, high long, pages long, occ long, chars long, parent long, tag string, depth int"
 
 
-def deduce(pages: DataFrame, min_fixed_pages: int = 3) -> DataFrame:
+def deduce(pages: DataFrame, scratch: Scratch, min_fixed_pages: int = 3) -> DataFrame:
     """pages: page_id, host, html. A row per host: the tokens that can be in its template. A text block counts from min_fixed_pages
     pages that hold it; pages that are null or empty count for nothing."""
-    from .common import Scratch
 
     def count(batches):
         for batch in batches:
@@ -267,50 +305,51 @@ def deduce(pages: DataFrame, min_fixed_pages: int = 3) -> DataFrame:
                             p, tag = parents[t]
                             depth[t] = depth.get(p, 0) + 1
                             vec = int(mix(np.array([once * np.uint64(0x9E3779B97F4A7C15) + np.uint64(n)], np.uint64))[0])
-                            s = sums.setdefault((host, t, 0), [0, 0, 0, 0, p, tag, depth[t]])
-                            s[0] ^= vec
-                            s[1] += 1
-                            s[2] += n
-                            s[3] += weights.get(t, 0)
-                    for t in {text_token(x) for x in blocks if not x.around}:
-                        sums.setdefault((host, t, 1), [0, 0, 0, 0, 0, None, 0])[1] += 1
+                            s = sums.setdefault((host, t, 0), [0, 0, 0, 0, 0, p, tag, depth[t]])
+                            s[0] += vec & 0xFFFFFFFF
+                            s[1] += vec >> 32
+                            s[2] += 1
+                            s[3] += n
+                            s[4] += weights.get(t, 0)
+                    texts = {text_token(x) for x in blocks if not x.around}
+                    texts.update(h for h, _ in boxes(blocks, counts, parents).values())
+                    for t in texts:
+                        sums.setdefault((host, t, 1), [0, 0, 0, 0, 0, 0, None, 0])[2] += 1
                 for host, n in seen.items():
-                    sums[(host, 0, 2)] = [0, n, n, 0, 0, None, 0]
+                    sums[(host, 0, 2)] = [0, 0, n, n, 0, 0, None, 0]
                 rows = list(sums.items())
-                signed = np.array([s[0] for _, s in rows], np.uint64).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([k[0] for k, _ in rows], pa.string()),
                         pa.array([k[1] for k, _ in rows], pa.int64()),
                         pa.array([k[2] for k, _ in rows], pa.int32()),
-                        pa.array(signed),
-                        *[pa.array([s[j] for _, s in rows], pa.int64()) for j in (1, 2, 3, 4)],
-                        pa.array([s[5] for _, s in rows], pa.string()),
-                        pa.array([s[6] for _, s in rows], pa.int32()),
+                        *[pa.array([s[j] for _, s in rows], pa.int64()) for j in range(6)],
+                        pa.array([s[6] for _, s in rows], pa.string()),
+                        pa.array([s[7] for _, s in rows], pa.int32()),
                     ],
-                    ["host", "tok", "kind", "vec", "pages", "occ", "chars", "parent", "tag", "depth"],
+                    ["host", "tok", "kind", "low", "high", "pages", "occ", "chars", "parent", "tag", "depth"],
                 )
 
     parts = pages.select("page_id", "host", "html").mapInArrow(count, PART)
-    total = parts.groupBy("host", "kind", "tok").agg(F.bit_xor("vec").alias("vec"), *[F.sum(c).alias(c) for c in ("pages", "occ", "chars")], F.max("parent").alias("parent"), F.max("tag").alias("tag"), F.max("depth").alias("depth"))
-    total = Scratch(pages.sparkSession).table(total.where(f"kind <> 1 OR pages >= {min_fixed_pages}"), few=True)
+    total = parts.groupBy("host", "kind", "tok").agg(*[F.sum(c).alias(c) for c in ("low", "high", "pages", "occ", "chars")], F.max("parent").alias("parent"), F.max("tag").alias("tag"), F.max("depth").alias("depth"))
+    total = scratch.table(total.where(f"kind <> 1 OR pages >= {min_fixed_pages}"))
     # A host's rows that can be in its template: few, as each is in a quarter of its pages (text: half of the pages that hold
-    # the main slot, which are half of all at least)
-    n = total.where("kind = 2").select("host", F.col("pages").alias("n"))
+    # the main slot, which are half of all at least). One or two pages have nothing to compare and choose by themselves
+    n = total.where("kind = 2 AND pages > 2").select("host", F.col("pages").alias("n"))
     kept = total.where("kind < 2").join(n, "host").where("pages * IF(kind = 0, 2, 4) >= n")
-    one = F.collect_list(F.struct("kind", "tok", "vec", "pages", "n", "chars", "parent", "tag", "depth"))
+    one = F.collect_list(F.struct("kind", "tok", "low", "high", "pages", "n", "chars", "parent", "tag", "depth"))
     return kept.groupBy("host").agg(one.alias("tokens"))
 
 
 def template_of(tokens: list[dict]) -> tuple[int, set[int], set[int]]:
     """Main slot, template tokens and fixed blocks from a host's tokens."""
     elements = {t["tok"]: t for t in tokens if t["kind"] == 0}
-    classes: dict[int, list[int]] = defaultdict(list)
+    classes: dict[tuple[int, int], list[int]] = defaultdict(list)
     for t in elements.values():
-        classes[t["vec"]].append(t["tok"])
+        classes[t["low"], t["high"]].append(t["tok"])
     template: set[int] = set()
     for t in sorted(elements.values(), key=lambda t: t["depth"]):  # outer tokens first: a token nests in its parent
-        if (t["parent"] == 0 or t["parent"] in template) and (len(classes[t["vec"]]) >= 2 or t["tag"] in MAIN_TAGS):
+        if (t["parent"] == 0 or t["parent"] in template) and (len(classes[t["low"], t["high"]]) >= 2 or t["tag"] in MAIN_TAGS):
             template.add(t["tok"])
     rows = [(t["tok"], t["parent"], t["tag"], t["chars"], t["depth"]) for t in elements.values()]
     main = choose_main(rows, template)
@@ -322,25 +361,20 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     """page_id, url, text, n_chars of every page from its whole html.
 
     Templates (a row per host) are broadcast if they have at most `max_broadcast_tokens` tokens altogether, else joined
-    by host with salt. Text of the main slot that at least three pages and half of the pages with the main slot share is
-    left out, unless nothing else is there. Defined results: null or empty html gives an empty text; pages without url share one host; a page
-    alone on its host is read by its own elements; br is white space inside its block; text outside any element counts;
-    tags that are never closed end with what holds them; rows that repeat are each extracted; other columns are
-    ignored; an empty table gives no rows.
+    by host, where adaptive execution splits the pages of hot hosts. Defined results: null or empty html gives an empty
+    text; very long html is read whole, in a block of its own; pages without url share one host; a page on a host of one or two is read by its own
+    elements; of main slots that tie the one with more text, then the smaller token counts; br is white space inside its
+    block; text outside any element counts; tags that are never closed end with what holds them; rows that repeat are each
+    extracted and each count for the template; a slot that has fixed texts alone keeps them; other columns are ignored; an empty table gives no rows.
     """
     spark = pages.sparkSession
     ship(spark)
     base = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
     base = base.withColumn("host", F.coalesce(split_url("url")["host"], F.lit("")))
-    from .common import Scratch
-
-    templates = Scratch(spark).table(deduce(base))
+    scratch = Scratch(spark)
+    templates = scratch.table(deduce(base, scratch))
     size = templates.agg(F.sum(F.size("tokens"))).first()[0] or 0
-    if size <= max_broadcast_tokens:
-        joined = base.join(F.broadcast(templates), "host", "left")
-    else:
-        salted = templates.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(31))))
-        joined = base.withColumn("salt", F.pmod(F.xxhash64("page_id"), F.lit(32)).cast("int")).join(salted, ["host", "salt"], "left")
+    joined = base.join(F.broadcast(templates) if size <= max_broadcast_tokens else templates.hint("merge"), "host", "left")
 
     def read_pages(batches):
         known: dict[str, tuple] = {}

@@ -103,6 +103,79 @@ def test_html_fixed_text_by_share_of_pages(spark):
     assert text[12] == text[13] == "" and text[14] == "Error 14"
 
 
+def extracted(spark, rows, **k):
+    from quillgraph.llm.html_text import extract
+
+    return {r.page_id: r.text for r in extract(spark.createDataFrame(rows, "page_id long, url string, html string"), **k).collect()}
+
+
+def test_html_shared_sentences_are_kept(spark):
+    # An opening sentence that all articles of a host share, with and without a heading, and one in between
+    rows, want = [], {}
+    for i in range(12):
+        head = f"<h1>Head {i}</h1>" if i % 2 else ""
+        rows.append((i, f"http://s.org/{i}", page(f"<article>{head}<p>The house says so.</p><p>Own words {i}</p><p>As ever.</p><p>Last words {i}</p></article>")))
+        want[i] = ([f"Head {i}"] if i % 2 else []) + ["The house says so.", f"Own words {i}", "As ever.", f"Last words {i}"]
+    assert extracted(spark, rows) == {i: "\n".join(w) for i, w in want.items()}
+
+
+def test_html_class_names_inside_an_article(spark):
+    inner = '<h1>T</h1><div class="social-science"><p>Science</p></div><div class="cookie-recipe"><p>Recipe</p></div><div class="share-buttons">Share</div><div class="comments"><p>Reader</p></div><aside>Side</aside>'
+    assert extracted(spark, [(1, "http://n.org/1", page(f"<article>{inner}</article>"))]) == {1: "T\nScience\nRecipe"}
+
+
+@pytest.mark.parametrize("broadcast", [200_000, 0])
+def test_html_boxes_without_a_name(spark, broadcast):
+    # A box that differs in digits only, at any place of the article; and boxes told apart by digits of their names
+    rows, want = [], {}
+    for i in range(12):
+        box = f'<div class="x7">Try our app for {i} days</div>'
+        body = f"<h1>Head {i}</h1>{box}<p>Some {'words ' * 9}of page {i}</p><div class='x{i}'><p>Part one {i} {'abcdefghijkl'[i]}</p></div><p>End {i}</p>"
+        rows.append((i, f"http://b.org/{i}", page(f"<article>{body}</article>")))
+        want[i] = f"Head {i}\nSome {'words ' * 9}of page {i}\nPart one {i} {'abcdefghijkl'[i]}\nEnd {i}"
+    assert extracted(spark, rows, max_broadcast_tokens=broadcast) == want
+    # Pages that all stand twice have the same classes
+    assert extracted(spark, rows * 2, max_broadcast_tokens=broadcast) == want
+
+
+def test_html_classes_against_plain_vectors(spark, monkeypatch):
+    from quillgraph.llm import html_text as h
+    from quillgraph.llm.common import Scratch
+
+    rs = np.random.RandomState(20)
+    rows = []
+    for i in range(30):
+        parts = [f"<div class='{c}'>{'<p>' * n}text {rs.randint(9)}</div>" for c, n in zip("abcde", rs.randint(0, 3, 5), strict=True) if rs.rand() < 0.8]
+        rs.shuffle(parts)
+        rows.append((int(rs.randint(1000)), "http://v.org/", page(f"<main><section>{''.join(parts)}</section></main>", f"menu {i}")))
+    rows += rows[:5]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("host", F.lit("v.org"))
+    tokens = [t.asDict() for t in h.deduce(df, Scratch(spark)).first().tokens]
+    got = h.template_of(tokens)
+    # Plain: a vector of counts over all pages for each element
+    vectors, parent, tag = defaultdict(lambda: [0] * len(rows)), {}, {}
+    for k, (_, _, source) in enumerate(rows):
+        _, counts, parents, _ = h.parse(source)
+        for t, n in counts.items():
+            vectors[t][k] = n
+            parent[t], tag[t] = parents[t]
+    sizes = Counter(map(tuple, vectors.values()))
+    valid = {t for t, v in vectors.items() if 2 * sum(map(bool, v)) >= len(rows) and (sizes[tuple(v)] > 1 or tag[t] in h.MAIN_TAGS)}
+    template = set()
+    while more := {t for t in valid - template if parent[t] == 0 or parent[t] in template}:
+        template |= more
+    assert got[1] == template and tag[got[0]] in ("section", "main")
+    assert 0 < len(valid) < len(vectors)
+    # Without the vectors the template is another
+    assert h.template_of([{**t, "low": 0, "high": 0} for t in tokens])[1] != template
+
+
+def test_html_long_pages_and_ties(spark):
+    long = "word " * 300_000
+    rows = [(1, "http://l.org/", page(f"<article><p>{long}</article>")), (2, None, "<div><p>one</p></div><div><p>two</p></div>"), (2, None, "<div><p>one</p></div><div><p>two</p></div>")]
+    assert extracted(spark, rows) == {1: long.strip(), 2: "one\ntwo"}
+
+
 # ------------------------------------------------------------------ 2 mixing
 
 
