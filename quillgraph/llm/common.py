@@ -61,9 +61,13 @@ def shared_dir(spark) -> str:
 
 
 class Scratch:
-    """Tables written to the shared folder: they cut lineage and outlive executors."""
+    """Tables written to the shared folder: they cut lineage and outlive executors. Results that are read lazily need them
+    until they have been read; Scratch.release() then removes what is left."""
+
+    live: list = []
 
     def __init__(self, spark):
+        Scratch.live.append(self)
         self.spark, self.base = spark, f"{shared_dir(spark).rstrip('/')}/quill-{uuid.uuid4().hex}"
         self.n = 0
 
@@ -90,6 +94,13 @@ class Scratch:
         self._delete(self.base)
         return out
 
+    @staticmethod
+    def release(since: int = 0) -> None:
+        """Removes the tables of all scratch spaces opened after the first `since` ones."""
+        for s in Scratch.live[since:]:
+            s._delete(s.base)
+        del Scratch.live[since:]
+
     def _delete(self, folder: str) -> None:
         path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -223,6 +223,30 @@ def test_mixing_meets_targets(spark):
     assert all(r.taken % max(1, r["size"]) == 0 for r in whole)
 
 
+def test_mixing_of_small_sources_meets_targets_to_a_word(spark):
+    import duckdb
+
+    from quillgraph.llm.mixing import OP2_SQL, mix
+
+    rs = np.random.RandomState(2)
+    # Targets that round up to a whole copy, and others of few words; then a case with 9.67 words wanted of 10
+    for case in range(6):
+        sizes = [10, 19] if not case else rs.randint(0, 30, rs.randint(1, 9)).tolist()
+        rows = [(i, "w", "en", f"s{s}", 1) for s, n in enumerate(sizes) for i in range(s * 100, s * 100 + max(n, 1))]
+        rows = [(i, t if sizes[int(s[1:])] else "", la, s, c) for i, t, la, s, c in rows]
+        df = spark.createDataFrame(rows, DOC)
+        got = mix(df).collect()
+        source, taken, target = {r[0]: r[3] for r in rows}, Counter(), {}
+        for r in got:
+            taken[source[r.doc_id]] += r.taken
+            target[source[r.doc_id]] = r.target
+        want = water_fill({f"s{s}": n for s, n in enumerate(sizes)}) if sum(sizes) else dict.fromkeys(target, 0.0)
+        assert all(abs(target[s] - want[s]) < 1e-9 and abs(taken[s] - want[s]) <= 0.5 + 1e-9 for s in target)
+        documents = df.toPandas()  # noqa: F841  read by the SQL
+        oracle = {r[0]: r[1:] for r in duckdb.sql(OP2_SQL).fetchall()}
+        assert all((r["size"], r.source_size, r.target, r.taken) == oracle[r.doc_id][:4] for r in got)
+
+
 def test_mixing_prefers_longer_documents_mildly_and_takes_fixed_sizes(spark):
     from quillgraph.llm.mixing import mix
 
