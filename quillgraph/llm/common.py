@@ -71,12 +71,9 @@ class Scratch:
         self.spark, self.base = spark, f"{shared_dir(spark).rstrip('/')}/quill-{uuid.uuid4().hex}"
         self.n = 0
 
-    def table(self, df, few: bool = False):
-        """Writes df and returns it as read from its table; .quill_path has the folder. With few=True (rows that a shuffle
-        has dealt thinly) a task writes the rows of four partitions, as making a file costs more than such rows."""
+    def table(self, df):
+        """Writes df and returns it as read from its table; .quill_path has the folder."""
         self.n += 1
-        if few:
-            df = df.coalesce(max(8, int(self.spark.conf.get("spark.sql.shuffle.partitions")) // 4))
         path = f"{self.base}/t{self.n}"
         df.write.option("compression", "snappy").parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)

@@ -15,6 +15,7 @@ no task holds a whole group, and every pair that could connect different parts i
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -60,8 +61,7 @@ def signatures(h: np.ndarray, bounds: np.ndarray) -> dict[str, np.ndarray]:
     if not len(full):
         return out
     at = bounds[:-1][full]
-    out["k1"][full] = np.add.reduceat(mix(h), at)
-    out["k2"][full] = np.add.reduceat(mix(h ^ np.uint64(0x5851F42D4C957F2D)), at)
+    out["k1"], out["k2"] = set_keys(h, bounds)
     minima = np.empty((len(full), HASHES), np.uint64)
     for j in range(HASHES):
         minima[:, j] = np.minimum.reduceat(h * _A[j], at)
@@ -198,17 +198,17 @@ def connect(rows: DataFrame, scratch: Scratch, exact: int | None, cut: float) ->
         return keyed.repartition("task").sortWithinPartitions("task").mapInArrow(run, schema)
 
     sizes = rows.groupBy("grp").agg(F.count("*").alias("n")).where("n > 1")
-    sizes = scratch.table(sizes, few=True)
+    sizes = scratch.table(sizes)
     sized = rows.join(sizes, "grp").withColumn("block", F.expr(f"pmod(xxhash64(id, 11), ceil(n / {BLOCK}))"))
     one = sized.select(F.xxhash64("grp", "block").alias("task"), "id", F.col("id").alias("label"), F.lit(0).alias("side"), *payload)
-    edges = scratch.table(tasks(one), few=True)
+    edges = scratch.table(tasks(one))
     labels = components(edges, scratch)
-    large = scratch.table(sizes.where(f"n > {BLOCK}"), few=True)
+    large = scratch.table(sizes.where(f"n > {BLOCK}"))
     if large.isEmpty():
         return labels
     # Groups of several blocks: the largest part against the rest, and the rest against itself
     inside = rows.join(large, "grp").join(labels.withColumnRenamed("label", "l"), "id", "left").withColumn("label", F.coalesce("l", "id")).drop("l")
-    inside = scratch.table(inside, few=True)
+    inside = scratch.table(inside)
     counts = inside.groupBy("grp", "label").agg(F.count("*").alias("c"))
     bulk = counts.groupBy("grp").agg(F.max(F.struct("c", F.col("label").alias("bulk"))).alias("m"), F.sum("c").alias("n_all"))
     bulk = bulk.select("grp", F.col("m.bulk").alias("bulk"), F.expr(f"ceil(m.c / {BLOCK})").alias("nb"), F.expr(f"ceil((n_all - m.c) / {BLOCK})").alias("nm")).where("nm > 0")
@@ -222,20 +222,20 @@ def connect(rows: DataFrame, scratch: Scratch, exact: int | None, cut: float) ->
         f"if(minor, transform(sequence(0L, nm - 1), i -> struct({key.format('m', 'least(own, i)', 'greatest(own, i)')} AS task, if(i = own, 0, if(own < i, 1, 2)) AS side)), array())"
     )
     crossed = inside.withColumn("t", F.explode(F.concat(with_bulk, among))).select("t.task", "id", "label", "t.side", *payload)
-    more = scratch.table(tasks(crossed), few=True)
+    more = scratch.table(tasks(crossed))
     stars = labels.select(F.col("id").alias("u"), F.col("label").alias("v"))
     return components(stars.unionByName(more), scratch)
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept for every row.
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85, keys: bool = False) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept for every row; with keys=True also k1 and k2, which tell its set.
 
     Two texts are linked if their sets' intersection is at least `percent` hundredths of their union, confirmed on
     the full sets; component_id is the smallest doc_id reachable by links. A pair at exactly 0.85 shares a band with
     probability 1 - 8e-8. Defined results: a null or empty text, or one without words, has no shingles, is linked with
-    nothing and kept; a text of 1 to 4 words has its whole sequence as one shingle; rows that share a doc_id are
-    each judged by their own text (where they stand for their class, links of either count); a row without doc_id is never linked, has no component_id and is kept; other columns are
-    ignored; an empty table gives no rows.
+    nothing and kept; a text of 1 to 4 words has its whole sequence as one shingle; a very long text is one set, in a block of
+    its own; rows that share a doc_id are each judged by their own text; a row without doc_id is never linked, has no
+    component_id and is kept; other columns are ignored; an empty table gives no rows.
     """
     spark = docs.sparkSession
     ship(spark)
@@ -262,19 +262,29 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     described = scratch.table(base.mapInArrow(describe, "doc_id long, n_shingles long, k1 long, k2 long, bands array<long>, sig array<long>"))
     usable = described.where("n_shingles > 0 AND doc_id IS NOT NULL")
-    classes = scratch.table(usable.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep")), few=True)
-    reps = usable.join(classes, ["k1", "k2"], "left_semi").join(classes.select(F.col("rep").alias("doc_id"), F.col("k1").alias("c1"), F.col("k2").alias("c2")), "doc_id")
-    reps = scratch.table(reps.where("k1 = c1 AND k2 = c2").select(F.col("doc_id").alias("id"), "bands", "sig").dropDuplicates(["id", "bands"]), few=True)
+    # A class's node is its smallest doc_id, or a hash of its set where that doc_id has rows of several sets
+    classes = scratch.table(usable.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep")))
+    several = scratch.table(classes.groupBy("rep").agg(F.count("*").alias("sets")).where("sets > 1"))
+    ids_are_reps = several.isEmpty()
+    if ids_are_reps:
+        classes = classes.withColumn("id", F.col("rep"))
+    else:
+        classes = scratch.table(classes.join(several, "rep", "left").withColumn("id", F.when(F.col("sets").isNull(), F.col("rep")).otherwise(F.xxhash64("k1", "k2"))).drop("sets"))
+    own_class = classes.select("id", "rep", F.col("k1").alias("c1"), F.col("k2").alias("c2"))
+    reps = usable.join(own_class, (F.col("doc_id") == F.col("rep")) & (F.col("k1") == F.col("c1")) & (F.col("k2") == F.col("c2")))
+    reps = scratch.table(reps.select("id", "rep", "k1", "k2", "bands", "sig").dropDuplicates(["id"]))
     buckets = reps.select("id", F.explode("bands").alias("grp"))
     shared = buckets.groupBy("grp").agg(F.count("*").alias("n")).where("n > 1").select("grp")
-    shared = scratch.table(buckets.join(shared, "grp", "left_semi"), few=True)
-    rows = shared.join(reps.select("id", "sig"), "id")
+    shared = buckets.join(shared, "grp", "left_semi")
+    rows = scratch.table(shared.join(reps.select("id", "sig"), "id"))
     cut = percent / 100 - SLACK
     likely = connect(rows, scratch, None, cut)
-    likely = scratch.table(likely, few=True)
+    likely = scratch.table(likely)
+    scratch.drop(rows)
 
     # Full sets of what is in a cluster: a Bloom filter of their ids spares a shuffle of all texts; the join below is exact
-    maybe, bits = (bloom := Bloom(likely, "id")).table, bloom.bits
+    clustered = scratch.table(likely.join(reps.drop("bands"), "id"))
+    maybe, bits = (bloom := Bloom(clustered, "rep")).table, bloom.bits
 
     def item_sets(batches):
         for batch in batches:
@@ -285,32 +295,64 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             batch = batch.filter(pa.array(wanted))
             for a, b in pieces(batch.column(1)):
                 h, bounds = distinct_shingles(batch.column(1).slice(a, b - a))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), _lists(h, bounds)], ["id", "items"])
-
-    sets = base.mapInArrow(item_sets, "id long, items array<long>")
-    full = sets.join(likely, "id").join(reps.select("id", "sig"), "id").select(F.col("label").alias("grp"), "id", "sig", "items")
-    linked = connect(scratch.table(full, few=True), scratch, percent, cut)
-    # Rows of one doc_id and classes of one set are tied together by their smallest doc_id
-    members = described.join(classes, ["k1", "k2"], "left").withColumn("rep", F.when(F.col("n_shingles") > 0, F.col("rep")))
-    out = members.join(linked.withColumnRenamed("id", "rep"), "rep", "left")
+                k1, k2 = set_keys(h, bounds)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(k1.view(np.int64)), pa.array(k2.view(np.int64)), _lists(h, bounds)], ["rep", "k1", "k2", "items"])
+
+    sets = base.mapInArrow(item_sets, "rep long, k1 long, k2 long, items array<long>")
+    full = sets.join(clustered, ["rep", "k1", "k2"]).select(F.col("label").alias("grp"), "id", "sig", "items")
+    linked = connect(scratch.table(full), scratch, percent, cut)
+    if not ids_are_reps:  # labels are nodes: a component's id is its smallest doc_id
+        smallest = linked.join(classes.select("id", "rep"), "id").groupBy("label").agg(F.min("rep").alias("least"))
+        linked = linked.join(smallest, "label").select("id", F.col("least").alias("label"))
+    members = described.select("doc_id", "n_shingles", "k1", "k2").join(classes, ["k1", "k2"], "left")
+    # A row without doc_id stands in no class
+    members = members.withColumn("id", F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("id"))).withColumn("rep", F.when(F.col("id").isNotNull(), F.col("rep")))
+    out = members.join(linked, "id", "left")
     component = F.coalesce("label", "rep", "doc_id")
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+    out = out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"), *["k1", "k2"] * keys)
+    return scratch.last(out)
+
+
+def set_keys(h: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two keys of the whole set of each text, zeros without shingles."""
+    k1, k2 = np.zeros(len(bounds) - 1, np.uint64), np.zeros(len(bounds) - 1, np.uint64)
+    full = np.flatnonzero(np.diff(bounds) > 0)
+    if len(full):
+        at = bounds[:-1][full]
+        k1[full] = np.add.reduceat(mix(h), at)
+        k2[full] = np.add.reduceat(mix(h ^ np.uint64(0x5851F42D4C957F2D)), at)
+    return k1, k2
 
 
 def keep_one(docs: DataFrame, percent: int = 85) -> DataFrame:
-    """The documents with one row of each group of near_duplicates, that of its smallest doc_id; rows without doc_id stay. Rows that surely stay
-    are told by a Bloom filter of all others, so that only texts of groups are shuffled for the exact decision."""
+    """docs without the rows that near_duplicates does not keep; of rows with one doc_id and one set the first in order of a hash of all
+    columns stays.
+
+    Rows that surely stay are told by a Bloom filter of all others, so that only texts of groups are shuffled for the exact
+    decision. Defined results: rows without doc_id stay, and so do all rows without words; rows that share a doc_id but not their
+    words are judged one by one; columns of any other name are carried along; an empty table gives no rows.
+    """
+    docs, names = docs.toDF(*(c if c in ("doc_id", "text") else f"c{i}" for i, c in enumerate(docs.columns))), docs.columns
     scratch = Scratch(docs.sparkSession)
-    found = near_duplicates(docs, percent=percent).where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n"), F.max("kept").alias("kept"))
-    odd = scratch.table(found.where("NOT kept OR n > 1"), few=True)
-    maybe = Bloom(odd, "doc_id").column("doc_id")
-    marked = docs.withColumn("maybe_", maybe)
-    rest = marked.where("maybe_").drop("maybe_")
-    out = marked.where("NOT maybe_").drop("maybe_").unionByName(rest.join(odd.hint("merge"), "doc_id", "left_anti").select(*docs.columns))
+    found = near_duplicates(docs, percent=percent, keys=True).where("doc_id IS NOT NULL AND n_shingles > 0")
+    found = found.groupBy("doc_id", "k1", "k2").agg(F.count("*").alias("n"), F.max("kept").alias("kept"))
+    odd = scratch.table(found.where("NOT kept OR n > 1").select(F.col("doc_id").alias("odd_id"), "k1", "k2", "kept"))
+    marked = docs.withColumn("maybe", Bloom(odd, "odd_id").column("doc_id"))
+
+    @F.pandas_udf("k1 long, k2 long")
+    def keys_of(texts: pd.Series) -> pd.DataFrame:
+        k1, k2 = set_keys(*distinct_shingles(pa.array(texts, pa.string())))
+        return pd.DataFrame({"k1": k1.view(np.int64), "k2": k2.view(np.int64)})
+
+    rest = marked.where("maybe").withColumn("keys", keys_of("text"))
+    same = (F.col("doc_id") == F.col("odd_id")) & (F.col("keys.k1") == F.col("k1")) & (F.col("keys.k2") == F.col("k2"))
+    out = marked.where("NOT maybe").select(*docs.columns).unionByName(rest.join(odd.hint("merge"), same, "left_anti").select(*docs.columns))
     again = odd.where("kept")
     if not again.isEmpty():
-        out = out.unionByName(rest.join(again.hint("merge"), "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"]))
-    return out
+        rows = rest.join(again.select("odd_id", "k1", "k2").hint("merge"), same).select("odd_id", "k1", "k2", F.struct(*docs.columns).alias("row"))
+        one = rows.groupBy("odd_id", "k1", "k2").agg(F.min_by("row", F.xxhash64(F.to_json("row"))).alias("row"))
+        out = out.unionByName(one.select("row.*"))
+    return out.toDF(*names)
 
 
 def op8_near_dup(spark, sf_dir: str) -> DataFrame:

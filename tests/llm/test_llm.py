@@ -896,6 +896,24 @@ def test_keep_one_of_repeated_rows(spark):
     assert got == ["1", "3", "None"]
 
 
+def test_keep_one_of_rows_that_share_an_id(spark):
+    from quillgraph.llm.near_dup import keep_one, near_duplicates
+
+    rs = np.random.RandomState(17)
+    a, b, c = (make_text(rs, 120, [f"{x}{i}" for i in range(400)]) for x in "abc")
+    # 5 has two texts that have nothing in common, one of them is also that of 2; the other of 9 and, nearly, of 8
+    rows = [(2, a, "x", "a", 1), (5, a, "x", "b", 1), (5, b, "x", "c", 1), (9, b, "x", "d", 1), (8, b + " end", "x", "e", 1), (7, c, "x", "f", 1), (7, c, "x", "f", 1), (7, c, "y", "f", 1), (3, "", "", "g", 0), (3, None, "", "h", 0)]
+    df = spark.createDataFrame(rows, DOC).withColumn("kept", F.lit(1)).withColumn("n", F.lit("clash")).withColumn("odd_id", F.lit(2)).withColumn("k1", F.array(F.lit(1)))
+    got = keep_one(df)
+    assert got.columns == df.columns
+    rows = sorted((r.doc_id, r.source) for r in got.collect())
+    assert rows == [(2, "a"), (3, "g"), (3, "h"), (5, "c"), (7, "f")]
+    assert sorted(map(str, keep_one(df.repartition(5)).collect())) == sorted(map(str, got.collect()))
+    component = Counter((r.doc_id, r.component_id, r.kept) for r in near_duplicates(df).collect())
+    assert component == Counter({(2, 2, True): 1, (5, 2, False): 1, (5, 5, True): 1, (9, 5, False): 1, (8, 5, False): 1, (7, 7, True): 3, (3, 3, True): 2})
+    assert keep_one(df.limit(0)).count() == 0
+
+
 def test_pipeline_links_near_copies_at_80_percent(spark):
     import corpus_pipeline as p
     from quillgraph.llm.near_dup import near_duplicates
