@@ -223,10 +223,24 @@ def test_engine(spark, tmp_path):
     assert e.chunk_documents(done=e.chunks).count() == 2
 
 
-def test_catalogue_imports_without_the_pipeline_package():
-    import __spark_entry__ as entry
-
-    assert {"quality_score", "khop_neighbors"} <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
+@pytest.mark.parametrize("gone", [("quillgraph/llm", "tests/llm"), ("quillgraph/llm", "tests/llm", "corpus_pipeline.py"), ("corpus_pipeline.py",), ()])
+def test_entry_imports_on_a_copy_without_the_pipeline_package(tmp_path, gone):
+    import os
+    import shutil
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    copy = tmp_path / "copy"
+    shutil.copytree(root, copy, ignore=shutil.ignore_patterns(".git", "__pycache__"))
+    for name in (n for n in gone if (copy / n).exists()):
+        (shutil.rmtree if (copy / name).is_dir() else os.remove)(copy / name)
+    code = "import __spark_entry__ as e; q, o = e.queries(), e.oracle_sql(); assert set(o) <= set(q) and {'quality_score', 'khop_neighbors'} <= set(q); print(sum(n.startswith('op') for n in q), 'pipeline' in q)"
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", code], cwd=copy, env=env, capture_output=True, text=True, check=False)
+    has = os.path.isdir(os.path.join(root, "quillgraph/llm")) and "quillgraph/llm" not in gone
+    with_pipeline = has and os.path.exists(os.path.join(root, "corpus_pipeline.py")) and "corpus_pipeline.py" not in gone
+    assert (done.returncode, done.stdout.split()) == (0, ["10" if has else "0", str(with_pipeline)]), done.stderr
 
 
 def test_answer_ranks_entities_as_one_question_does(spark):
