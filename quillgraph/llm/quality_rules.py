@@ -1,9 +1,9 @@
 """Quality rules: a base of simple counts, and repetition found by a suffix array over words.
 
-For every text that has any window of `min_words` words twice, the suffixes of its words are put in order
+For every text that has any window of 5 words twice, the suffixes of its words are put in order
 (prefix doubling). The longest common prefix of a suffix with its neighbours in that order is the longest
-repeated substring that starts there; the intervals of length min_words or more are the maximal repeats.
-Their spans are united: the covered share of the words and the longest repeat are limited.
+repeated substring that starts there; the intervals of length `min_words` or more are the maximal repeats.
+Their spans are united: the share of the words that long repeats cover and the longest repeat are limited.
 All texts of a block are handled together in numpy; a text's suffixes are kept apart from those of others.
 """
 
@@ -118,17 +118,21 @@ def _per_doc(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return total[bounds[1:]] - total[bounds[:-1]]
 
 
-def measure(data: np.ndarray, offsets: np.ndarray, min_words: int = 5) -> dict:
-    """The counts of each text, and of each word the longest repeat from it on."""
+def covered(repeat: np.ndarray, least: int) -> np.ndarray:
+    """Which words are in the united spans of repeats of so many words at least."""
+    at = np.arange(len(repeat))
+    return np.maximum.accumulate(at + np.where(repeat >= least, repeat, 0)) > at if len(repeat) else repeat > 0
+
+
+def measure(data: np.ndarray, offsets: np.ndarray, min_words: int = 20) -> dict:
+    """The counts of each text, and of each word the longest repeat from it on (0 below 5 or min_words)."""
     words = Words(data, offsets)
     hashes = words.hashes(lower=False)
     n_words = np.diff(words.first)
     starts = (data & 0xC0) != 0x80
     width = np.append(0, np.cumsum(starts))
     chars = width[words.end] - width[words.start] if len(words.start) else np.zeros(0, np.int64)
-    repeat = longest_repeats(hashes, words.first, min_words)
-    reach = np.maximum.accumulate(np.arange(len(repeat)) + repeat) if len(repeat) else repeat
-    covered = reach > np.arange(len(repeat))
+    repeat = longest_repeats(hashes, words.first, min(5, min_words))
     longest = np.zeros(len(n_words), np.int64)
     np.maximum.at(longest, words.doc[repeat > 0], repeat[repeat > 0])
     return {
@@ -136,7 +140,8 @@ def measure(data: np.ndarray, offsets: np.ndarray, min_words: int = 5) -> dict:
         "word_chars": _per_doc(chars, words.first),
         "n_symbols": _per_doc(_IS_SYMBOL[data], offsets),
         "n_dup_lines": duplicate_lines(data, offsets, words),
-        "n_repeat_words": _per_doc(covered, words.first),
+        "n_repeat_words": _per_doc(covered(repeat, 5), words.first),
+        "n_long_words": _per_doc(covered(repeat, min_words), words.first),
         "longest_repeat": longest,
         "repeat": repeat,
         "words": words,
@@ -167,15 +172,15 @@ def duplicate_lines(data: np.ndarray, offsets: np.ndarray, words: Words) -> np.n
     return out
 
 
-SCHEMA = "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, kept boolean, longest_repeat long"
+SCHEMA = "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, kept boolean, longest_repeat long, n_long_words long"
 
 
 def apply_rules(
     docs: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
-    min_words: int = 5,
-    max_covered: float = 0.2,
+    min_words: int = 20,
+    max_percent: int = 10,
     max_longest: int = 100,
     spans: bool = False,
     carry: bool = False,
@@ -184,11 +189,11 @@ def apply_rules(
     carry=True only kept, after all columns of docs.
 
     The base fails a text of under 10 words, or with over 20 % of its words in 5-word windows that stand in it
-    twice or more. The suffix-array rule fails one whose united repeats of `min_words` words or more cover over
-    `max_covered` of its words, or whose longest repeat is over `max_longest` words. No shuffle; blocks of about
-    1 MB of text. Defined results: a null or empty text has no words and fails the base; a text of one line
-    has no duplicate lines; rows that repeat are judged one by one; other columns are ignored; an empty table
-    gives no rows.
+    twice or more. The suffix-array rules fail one whose united repeats of `min_words` words or more cover over
+    `max_percent` of its words, or whose longest repeat is over `max_longest` words. No shuffle; blocks of about
+    1 MB of text. Defined results: a null or empty text has no words and fails the base; a very long text is one block;
+    a text exactly at a limit is kept; a text of one line has no duplicate lines; rows that repeat are judged one by one; other
+    columns are ignored (with carry=True they must not be named kept); an empty table gives no rows.
     """
     ship(docs.sparkSession)
 
@@ -197,18 +202,17 @@ def apply_rules(
             keys, texts = batch.column(id_col if carry else "doc_id"), batch.column(text_col if carry else "text")
             for a, b in pieces(texts):
                 m = measure(*flat(texts.slice(a, b - a)), min_words)
-                five = m["n_repeat_words"] if min_words == 5 else measure(*flat(texts.slice(a, b - a)), 5)["n_repeat_words"]
-                failed = (m["n_words"] < 10) | (100 * five > 20 * m["n_words"])
-                kept = ~failed & (m["n_repeat_words"] <= max_covered * m["n_words"]) & (m["longest_repeat"] <= max_longest)
+                failed = (m["n_words"] < 10) | (100 * m["n_repeat_words"] > 20 * m["n_words"])
+                kept = ~failed & (100 * m["n_long_words"] <= max_percent * m["n_words"]) & (m["longest_repeat"] <= max_longest)
                 if carry:
                     yield pa.RecordBatch.from_arrays([*batch.slice(a, b - a).columns, pa.array(kept)], [*batch.schema.names, "kept"])
                     continue
                 columns = [keys.slice(a, b - a).cast(pa.int64())]
                 columns += [pa.array(m[c].astype(np.int64)) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines")]
-                columns += [pa.array(five.astype(np.int64)), pa.array(failed), pa.array(kept), pa.array(m["longest_repeat"])]
-                names = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "longest_repeat"]
+                columns += [pa.array(m["n_repeat_words"].astype(np.int64)), pa.array(failed), pa.array(kept), pa.array(m["longest_repeat"]), pa.array(m["n_long_words"].astype(np.int64))]
+                names = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "longest_repeat", "n_long_words"]
                 if spans:
-                    columns.append(maximal_spans(m["repeat"], m["words"].first))
+                    columns.append(maximal_spans(np.where(m["repeat"] >= min_words, m["repeat"], 0), m["words"].first))
                     names.append("repeats")
                 yield pa.RecordBatch.from_arrays(columns, names)
 
@@ -241,6 +245,9 @@ WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text,
 five AS (SELECT r, i, array_to_string(w[i:i + 4], ' ') AS g FROM (SELECT r, w, unnest(range(1, len(w) - 3)) AS i FROM d WHERE len(w) >= 5)),
 hit AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, g) AS n FROM five) WHERE n > 1),
 cov AS (SELECT r, sum(least(5, nxt - i)) AS covered FROM (SELECT r, i, coalesce(lead(i) OVER (PARTITION BY r ORDER BY i), i + 5) AS nxt FROM hit) GROUP BY r),
+twenty AS (SELECT h.r, h.i, array_to_string(w[h.i:h.i + 19], ' ') AS g FROM hit h JOIN d ON d.r = h.r WHERE h.i + 19 <= len(w)),
+hit20 AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, g) AS n FROM twenty) WHERE n > 1),
+cov20 AS (SELECT r, sum(least(20, nxt - i)) AS covered20 FROM (SELECT r, i, coalesce(lead(i) OVER (PARTITION BY r ORDER BY i), i + 20) AS nxt FROM hit20) GROUP BY r),
 long AS (
   SELECT DISTINCT r FROM (
     SELECT h.r, array_to_string(w[h.i:h.i + 100], ' ') AS g FROM hit h JOIN d ON d.r = h.r WHERE h.i + 100 <= len(w))
@@ -250,10 +257,10 @@ m AS (
     (length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
     len(list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')))::BIGINT
       - len(list_distinct(list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]'))))::BIGINT AS n_dup_lines,
-    coalesce(covered, 0)::BIGINT AS n_repeat_words, long.r IS NOT NULL AS too_long
-  FROM d LEFT JOIN cov ON cov.r = d.r LEFT JOIN long ON long.r = d.r)
+    coalesce(covered, 0)::BIGINT AS n_repeat_words, coalesce(covered20, 0)::BIGINT AS n_long_words, long.r IS NOT NULL AS too_long
+  FROM d LEFT JOIN cov ON cov.r = d.r LEFT JOIN cov20 ON cov20.r = d.r LEFT JOIN long ON long.r = d.r)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
   (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AS base_failed,
-  NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND NOT too_long AS kept
+  NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND NOT too_long AND 100 * n_long_words <= 10 * n_words AS kept, n_long_words
 FROM m
 """

@@ -365,7 +365,12 @@ def plain_rules(text):
                 while at[y] + n < len(words) and words[at[x] + n] == words[at[y] + n]:
                     n += 1
                 longest = max(longest, n)
-    return (len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text), len(lines) - len(set(lines)), len(covered), failed, not failed and longest <= 100, longest)
+    twenty = defaultdict(list)
+    for i in range(len(words) - 19):
+        twenty[tuple(words[i : i + 20])].append(i)
+    long = len({j for at in twenty.values() if len(at) > 1 for i in at for j in range(i, i + 20)})
+    kept = not failed and longest <= 100 and 100 * long <= 10 * len(words)
+    return (len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text), len(lines) - len(set(lines)), len(covered), failed, kept, longest, long)
 
 
 def test_quality_rules_against_plain_version(spark):
@@ -387,11 +392,50 @@ def test_quality_rules_against_plain_version(spark):
     assert got[len(texts) - 1][5:7] == (False, False)  # only the suffix-array rule rejects it
 
 
+def test_each_quality_limit_decides_for_itself(spark):
+    from quillgraph.llm.quality_rules import apply_rules
+
+    fresh = iter(f"q{i}" for i in range(10**6))
+    words = lambda n: [next(fresh) for _ in range(n)]
+    phrases = [words(6) for _ in range(8)]
+    cases = {
+        "clean": (words(400), True),
+        "base": (words(50) * 2, False),
+        "covered": ((p := words(30)) + words(190) + p + words(190), False),  # 60 of 440 words in repeats of 30
+        "at the limit": ((p := words(20)) + words(180) + p + words(180), True),  # 40 of 400 words
+        "short repeats": ([w for p in phrases for w in p + words(20)] + [w for p in phrases for w in p + words(20)] + words(80), True),  # 96 of 496 words, none of 20
+        "longest": ((p := words(105)) + words(1000) + p + words(1000), False),  # 9.5 % of the words
+    }
+    df = spark.createDataFrame([(i, " ".join(w), k, "", 0) for i, (k, (w, _)) in enumerate(cases.items())], DOC)
+    got = {r.doc_id: r for r in apply_rules(df).collect()}
+    for i, (k, (w, kept)) in enumerate(cases.items()):
+        assert got[i].kept == kept == plain_verdict(w), k
+        assert got[i].base_failed == (k == "base")
+    assert got[2].n_long_words == 60 and got[3].n_long_words == 40 and got[4].n_long_words == 0
+    # A very long text
+    long = spark.createDataFrame([(1, " ".join(words(300_000)), "", "", 0)], DOC)
+    assert apply_rules(long).first().kept
+
+
+def plain_verdict(w, max_longest=100, long_words=20, max_long_covered=0.1):
+    """Whether words pass the base and the limits on repeats, by dictionaries of windows."""
+
+    def covered(n):
+        at = defaultdict(list)
+        for i in range(len(w) - n + 1):
+            at[tuple(w[i : i + n])].append(i)
+        return len({j for places in at.values() if len(places) > 1 for i in places for j in range(i, i + n)})
+
+    if len(w) < 10 or 100 * covered(5) > 20 * len(w):
+        return False
+    return covered(max_longest + 1) == 0 and covered(long_words) <= max_long_covered * len(w)
+
+
 def test_maximal_spans_and_odd_rows(spark):
     from quillgraph.llm.quality_rules import apply_rules
 
     df = spark.createDataFrame([(1, "a b c d e f x a b c d e f y", "", "", 0)], DOC)
-    r = apply_rules(df, spans=True).first()
+    r = apply_rules(df, spans=True, min_words=5).first()
     assert [(s.start, s.end) for s in r.repeats] == [(0, 6), (7, 13)] and r.longest_repeat == 6
     odd = odd_rows(spark)
     assert apply_rules(odd).count() == odd.count() and apply_rules(odd.limit(0)).count() == 0
@@ -837,11 +881,33 @@ def test_lm_without_training_documents(spark):
 # ------------------------------------------------------------------ pipeline
 
 
-def test_pipeline_stages(spark, tmp_path):
+def linked_groups(docs, share):
+    """Components of documents by brute force over all pairs: doc_id -> smallest doc_id."""
+    sets = {}
+    for r in docs:
+        w = WORD.findall("".join(c.lower() if "A" <= c <= "Z" else c for c in r.text or ""))
+        sets[r.doc_id] = {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+    up = {i: i for i in sets}
+
+    def find(i):
+        while up[i] != i:
+            i = up[i]
+        return i
+
+    ids = sorted(sets)
+    for k, x in enumerate(ids):
+        for y in ids[:k]:
+            a, b = sets[x], sets[y]
+            if a and b and 100 * len(a & b) >= share * len(a | b):
+                p, q = find(x), find(y)
+                up[max(p, q)] = min(p, q)
+    return {i: find(i) for i in ids}
+
+
+def test_pipeline_stages_and_run(spark, tmp_path, monkeypatch):
     import corpus_pipeline as p
-    from quillgraph.llm.mixing import mix
-    from quillgraph.llm.near_dup import near_duplicates
-    from quillgraph.llm.quality_rules import apply_rules
+    from quillgraph.llm.bpe import encode, production_vocabulary
+    from quillgraph.llm.common import Scratch
 
     sf = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{sf}/documents.parquet")
@@ -850,21 +916,66 @@ def test_pipeline_stages(spark, tmp_path):
         out = stage(spark, docs, sf)
         out.write.parquet(str(tmp_path / str(k)))
         out = spark.read.parquet(str(tmp_path / str(k)))
-        ids, before = Counter(r.doc_id for r in out.select("doc_id").collect()), Counter(r.doc_id for r in docs.select("doc_id").collect())
+        before = docs.collect()
+        text = {r.doc_id: r.text for r in before}
+        words = {i: WORD.findall(t) for i, t in text.items()}
+        ids = Counter(r.doc_id for r in out.select("doc_id").collect())
         if k < len(p.STAGES) - 1:
             assert out.columns == columns
-            text = {r.doc_id: r.text for r in docs.collect()}
             assert all(text[r.doc_id] == r.text for r in out.collect())
+        if name == "toxicity":
+            toxic = {r.doc_id for r in spark.read.parquet(f"{sf}/labels.parquet").collect() if r.toxic}
+            assert len(toxic - set(ids)) >= 0.5 * len(toxic) and len(ids) >= 0.9 * (len(text) - len(toxic))
         if name == "quality_rules":
-            assert set(ids) == {r.doc_id for r in apply_rules(docs).collect() if r.kept}
+            assert set(ids) == {i for i, w in words.items() if plain_verdict(w)}
         if name == "near_dup":
-            assert ids == Counter(r.doc_id for r in near_duplicates(docs).collect() if r.kept)
+            group = linked_groups(before, 80)
+            assert ids == Counter(set(group.values()))
         if name == "mixing":
-            copies = {r.doc_id: r.whole_copies + (r.share > 0) for r in mix(docs, cut_last=False).collect()}
-            assert ids == Counter({i: n for i, n in copies.items() if n})
+            # Whole documents; words taken are nearest to the target but for the document in which it is met
+            source, size, taken = {r.doc_id: r.source for r in before}, Counter(), Counter()
+            for i, w in words.items():
+                size[source[i]] += len(w)
+                taken[source[i]] += len(w) * ids[i]
+            want = water_fill(size)
+            most = {s: max(len(w) for i, w in words.items() if source[i] == s) for s in size}
+            assert all(abs(taken[s] - want[s]) <= most[s] / 2 + 1 for s in size) and max(ids.values()) <= 4
         if name == "bpe":
-            assert ids == before
+            assert ids == Counter(r.doc_id for r in before)
+            assert sorted(map(tuple, out.collect())) == sorted(map(tuple, encode(docs, production_vocabulary()).collect()))
         docs = out
+    # run() is these stages one after the other, and leaves one table in the shared folder
+    live = len(Scratch.live)
+    assert sorted(map(tuple, p.run(spark, sf).collect())) == sorted(map(tuple, docs.collect()))
+    assert len(Scratch.live) == live + 1
+
+
+def test_pipeline_stages_on_odd_rows(spark, tmp_path):
+    import corpus_pipeline as p
+
+    # Every name that a stage uses for itself, as columns of the documents
+    odd = odd_rows(spark)
+    for c in ("kept", "copy", "share", "target", "taken", "h", "u", "q", "bucket", "maybe", "keys", "k1", "n", "whole_copies", "source_size", "row"):
+        odd = odd.withColumn(c, F.lit("clash"))
+    learned = [i for i in range(1, 8) if zlib.crc32(str(i).encode()) % 5]
+    labels = [(i, int(i == learned[0])) for i in learned] + [(learned[0], None), (None, 1)]
+    spark.createDataFrame(labels, "doc_id long, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    want = {
+        "toxicity": ["1", "2", "3", "4", "5", "6", "6", "7", "None"],
+        "near_dup": ["1", "2", "3", "4", "5", "6", "7", "None"],
+    }
+    for name, stage in p.STAGES:
+        for df in (odd, odd.limit(0)):
+            out = stage(spark, df, str(tmp_path))
+            rows = out.collect()
+            if name != "bpe":
+                assert out.columns == odd.columns
+                assert all(r.n == r.kept == r.copy == "clash" and r.label == 3 for r in rows)
+            if name in want and rows:
+                assert sorted(str(r.doc_id) for r in rows) == want[name]
+            if name == "mixing":
+                assert all(WORD.search(r.text) for r in rows)
+            assert rows or df is not odd or name == "quality_rules"
 
 
 def test_pipeline_keeps_rows_without_id(spark):
