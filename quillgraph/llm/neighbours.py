@@ -1,8 +1,9 @@
 """Approximate nearest neighbours by learned partitions.
 
-On a bounded sample the neighbour graph is cut into balanced parts, and a small network learns to tell from a vector
-in which parts its neighbours lie. It places every vector of the table in one part and routes a query to its most
-probable parts, as many as a calibration against brute force shows to be needed. There all vectors are compared.
+On a sample the neighbour graph is cut into balanced parts, and a small network learns to tell from a vector
+in which parts its neighbours lie. It places every vector of the table in one part (with an offset for each part that balances
+the parts) and routes a query to its most probable parts, as many as a calibration against brute force shows to be needed. There
+all vectors are compared. The number of parts grows with the square root of the number of vectors, and the sample with the parts.
 """
 
 from __future__ import annotations
@@ -56,17 +57,33 @@ def cut_graph(neighbours: np.ndarray, x: np.ndarray, parts: int) -> np.ndarray:
 
 
 class Router:
-    """One hidden layer and a softmax over parts."""
+    """One hidden layer and a softmax over parts; offset balances the parts that vectors are placed in."""
 
     def __init__(self, w1, b1, w2, b2):
         self.w1, self.b1, self.w2, self.b2 = w1, b1, w2, b2
+        self.offset = np.zeros(len(b2))
+
+    def part(self, x: np.ndarray) -> np.ndarray:
+        return (self.logits(x) + self.offset).argmax(axis=1)
+
+    def balance(self, x: np.ndarray, rounds: int = 200) -> None:
+        """Offsets with which x falls in parts of about equal sizes: those of large parts are lowered, of small ones raised."""
+        z, parts = self.logits(x), len(self.offset)
+        best, worst = self.offset, np.inf
+        for r in range(rounds):
+            load = np.bincount((z + self.offset).argmax(axis=1), minlength=parts) * parts / max(1, len(x))
+            if load.max() < worst:
+                best, worst = self.offset, load.max()
+            self.offset = self.offset - 0.5 * (1 - r / rounds) * np.log(np.maximum(load, 0.1))
+        self.offset = best
 
     def logits(self, x: np.ndarray) -> np.ndarray:
         return np.maximum(x @ self.w1 + self.b1, 0) @ self.w2 + self.b2
 
     @staticmethod
-    def fit(x: np.ndarray, share: np.ndarray, hidden: int = 128, epochs: int = 80) -> Router:
+    def fit(x: np.ndarray, share: np.ndarray, hidden: int = 128, steps: int = 2_000) -> Router:
         rs = np.random.RandomState(3)
+        epochs = max(5, steps * 256 // max(1, len(x)))
         d, p = x.shape[1], share.shape[1]
         params = [rs.randn(d, hidden) * np.sqrt(2 / d) * 3, np.zeros(hidden), rs.randn(hidden, p) * np.sqrt(1 / hidden), np.zeros(p)]
         m, s, t = [np.zeros_like(w) for w in params], [np.zeros_like(w) for w in params], 0
@@ -91,17 +108,26 @@ class Router:
 
 
 def learn(x: np.ndarray, parts: int, k: int = 10) -> Router:
-    """x: unit vectors of the sample."""
+    """x: unit vectors of the sample, two at least."""
+    k = min(k, len(x) - 1)
     near = np.empty((len(x), k), np.int64)
-    for at in range(0, len(x), 1024):
-        s = x[at : at + 1024] @ x.T
+    block = max(1, 4_000_000 // len(x))
+    for at in range(0, len(x), block):
+        s = x[at : at + block] @ x.T
         s[np.arange(len(s)), np.arange(at, at + len(s))] = -9
-        near[at : at + 1024] = np.argpartition(-s, k, axis=1)[:, :k]
+        near[at : at + block] = np.argpartition(-s, k - 1, axis=1)[:, :k]
     label = cut_graph(near, x, parts)
     share = np.zeros((len(x), parts))
     np.add.at(share, (np.repeat(np.arange(len(x)), k), label[near].ravel()), 1.0)
     share[np.arange(len(x)), label] += k / 2
-    return Router.fit(x, share / share.sum(1, keepdims=True))
+    router = Router.fit(x, share / share.sum(1, keepdims=True))
+    router.balance(x)
+    return router
+
+
+def parts_for(rows: int, max_parts: int) -> int:
+    """The power of 2 below the square root of the number of vectors."""
+    return int(min(max_parts, 2 ** max(0, int(np.log2(max(1.0, np.sqrt(rows)))))))
 
 
 def matrix(column) -> np.ndarray:
@@ -152,20 +178,22 @@ def nearest(
     vector_col: str = "embedding",
     k: int = 5,
     every: int = 50,
-    parts: int = 32,
-    max_sample: int = 6_000,
+    max_parts: int = 1_024,
+    sample_per_part: int = 64,
     calibration: int = 256,
-    recall: float = 0.96,
+    recall: float = 0.93,
+    explain: dict | None = None,
 ) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest found of each row whose id is divisible by `every`.
 
-    Every usable row is indexed. The partition is learned on a hash sample of about max_sample rows; the number of
-    parts to search is the smallest with which about `calibration` queries find `recall` of their true neighbours
-    in the whole table. A table of under 2,000 usable rows has one part, so its results are exact. Defined results:
+    Every usable row is indexed. The number of parts is the power of 2 below sqrt(n), at most max_parts; the partition is
+    learned on a hash sample of about sample_per_part rows a part (at most 65,536), by the same steps at every size. The number of
+    parts to search is the smallest with which about `calibration` queries find `recall` of their true neighbours in the whole
+    table. explain, if given, receives parts, routes and the sizes of the largest and mean part. Defined results:
     vectors that are null, zero, or hold null or non-finite components, or are not of the commonest length (the
     smallest such), take no part, as candidates or queries; neither do rows without id; rows that repeat an id count
-    once, with the row whose values come first as query and the nearest as candidate; other columns are ignored;
-    without usable rows the result is empty.
+    once, with the row whose values come first as query and the nearest as candidate; equal scores go by the smaller id; very
+    long vectors are vectors like others; other columns are ignored; without usable rows the result is empty.
     """
     spark = vectors.sparkSession
     ship(spark)
@@ -177,19 +205,20 @@ def nearest(
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     total = lengths[0]["count"]
     rows = rows.where(F.size("v") == lengths[0]["n"])
-    sampled = rows.where(F.pmod(F.xxhash64("vec_id", F.lit(5)), F.lit(1 << 20)) < int((1 << 20) * min(1, max_sample / total)) + 1)
-    router = None
-    if total >= 2_000:
-        x = unit(np.array([r.v for r in sampled.orderBy("vec_id").collect()]))  # about max_sample rows
-        x = np.unique(x, axis=0)
-        if len(x) >= 20 * parts:
-            router = learn(x, parts)
-    parts = parts if router else 1
+    parts = parts_for(total, max_parts)
+    share = min(1.0, sample_per_part * parts / total)
+    sampled = rows.where(F.pmod(F.xxhash64("vec_id", F.lit(5)), F.lit(1 << 20)) < int((1 << 20) * share) + 1)
+    x = unit(np.array([r.v for r in sampled.orderBy("vec_id").collect()]).reshape(-1, lengths[0]["n"]))  # about sample_per_part * parts rows
+    x = np.unique(x, axis=0)
+    # Fewer distinct vectors than two a part (copies) make fewer parts; a single part has nothing to route
+    while parts > 1 and len(x) < 2 * parts:
+        parts //= 2
+    router = learn(x, parts) if parts > 1 else None
 
     def place(batches):
         for batch in batches:
             x = matrix(batch.column(1))
-            part = router.logits(unit(x)).argmax(axis=1) if router and len(x) else np.zeros(len(x))
+            part = router.part(unit(x)) if router and len(x) else np.zeros(len(x))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(part.astype(np.int32))], ["vec_id", "v", "part"])
 
     index = scratch.table(rows.mapInArrow(place, "vec_id long, v array<double>, part int"))
@@ -215,11 +244,22 @@ def nearest(
             needed = np.sort([at[r.query_id][r.part] for r in truth])
             routes = int(needed[min(len(needed) - 1, int(np.ceil(recall * len(needed))) - 1)]) + 1 if len(needed) else 1
 
+    size = np.zeros(parts, np.int64)
+    for r in index.groupBy("part").count().collect():
+        size[r.part] = r["count"]
+    if explain is not None:
+        explain.update(parts=parts, routes=routes, largest=int(size.max()), mean=total / parts)
+
     def route(batches):
         for batch in batches:
             x = matrix(batch.column(1))
-            to = np.argsort(-router.logits(unit(x)), axis=1, kind="stable")[:, :routes] if router and len(x) else np.zeros((len(x), 1))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(to.astype(np.int32).tolist(), pa.list_(pa.int32()))], ["vec_id", "v", "parts"])
+            to = [[0]] * len(x)
+            if router and len(x):
+                order = np.argsort(-router.logits(unit(x)), axis=1, kind="stable")
+                # As many parts as hold k other rows at least, where small ones come first
+                enough = (np.cumsum(size[order], axis=1) <= k).sum(axis=1) + 1
+                to = [o[: max(routes, n)].tolist() for o, n in zip(order, enough, strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(to, pa.list_(pa.int32()))], ["vec_id", "v", "parts"])
 
     routed = scratch.table(queries.mapInArrow(route, "vec_id long, v array<double>, parts array<int>").select("vec_id", "v", F.explode("parts").alias("part")))
     n_rows = index.groupBy("part").agg(F.expr(f"ceil(count(*) / {CHUNK_ROWS})").alias("cr"))

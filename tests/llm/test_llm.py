@@ -452,7 +452,7 @@ def exact_neighbours(ids, x, q, k=5):
     return ids[ok][order], s[ok][order]
 
 
-def test_neighbours_are_exact_on_small_tables(spark):
+def test_neighbours_are_exact_where_full_recall_is_asked(spark):
     from quillgraph.llm.neighbours import nearest
 
     rs = np.random.RandomState(5)
@@ -461,15 +461,17 @@ def test_neighbours_are_exact_on_small_tables(spark):
     rows = [(i, v.tolist()) for i, v in enumerate(x)]
     odd = [(300, None), (350, [0.0] * 8), (400, [float("nan")] * 8), (450, [1.0] * 7 + [None]), (500, [1.0, 2.0]), (None, [1.0] * 8), (550, [float("inf")] * 8)]
     df = spark.createDataFrame(rows + odd, "vec_id long, embedding array<double>").withColumn("part", F.lit("clash"))
-    got = defaultdict(list)
-    for r in nearest(df).orderBy("query_id", "rank").collect():
+    got, how = defaultdict(list), {}
+    for r in nearest(df, recall=1.0, explain=how).orderBy("query_id", "rank").collect():
         got[r.query_id].append((r["rank"], r.vec_id, r.score))
     assert sorted(got) == [0, 50, 100, 150, 200]
     for q, found in got.items():
         ids, s = exact_neighbours(np.arange(230), x, q)
         assert [f[1] for f in found] == ids.tolist() and [f[0] for f in found] == [1, 2, 3, 4, 5]
         assert np.allclose([f[2] for f in found], s, atol=1e-12)
+    assert how["parts"] == 8  # the table is small, but goes the same way
     assert nearest(df.limit(0)).count() == 0
+    assert [r["count"] for r in nearest(df.where("vec_id < 12")).groupBy("query_id").count().collect()] == [5]
     assert nearest(df.where("vec_id < 3")).count() == 2
     assert nearest(df.where("vec_id IN (0, 1)").unionByName(df.where("vec_id IN (0, 1)"))).count() == 1
 
@@ -482,10 +484,27 @@ def test_neighbours_by_learned_partitions_reach_recall(spark):
     x = centres[rs.randint(0, 40, 4000)] + 0.4 * rs.randn(4000, 16)
     df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
     got = defaultdict(set)
-    for r in nearest(df, parts=16, max_sample=2000).collect():
+    how = {}
+    for r in nearest(df, sample_per_part=40, explain=how).collect():
         got[r.query_id].add(r.vec_id)
     hits = sum(len(got[q] & set(exact_neighbours(np.arange(4000), x, q)[0].tolist())) for q in range(0, 4000, 50))
     assert hits / 400 >= 0.9
+    assert how["parts"] == 32 and how["routes"] <= 8 and how["largest"] <= 2.5 * how["mean"]
+
+
+@pytest.mark.parametrize("sf", ["sf0.01", "sf0.1"])
+def test_neighbours_query_against_brute_force(spark, sf):
+    from quillgraph.llm.neighbours import op6_neighbours
+
+    rows = spark.read.parquet(f"/root/testdata/{sf}/embeddings.parquet").collect()
+    ids, x = np.array([r.vec_id for r in rows]), np.array([r.embedding for r in rows], float)
+    got = defaultdict(list)
+    for r in op6_neighbours(spark, f"/root/testdata/{sf}").orderBy("query_id", "rank").collect():
+        got[r.query_id].append(r.vec_id)
+    queries = ids[ids % 50 == 0].tolist()
+    assert sorted(got) == sorted(queries) and all(len(v) == 5 for v in got.values())
+    hits = sum(len(set(got[q]) & set(exact_neighbours(ids, x, q)[0].tolist())) for q in queries)
+    assert hits >= 0.9 * 5 * len(queries)
 
 
 # ------------------------------------------------------------------ 7 chat
