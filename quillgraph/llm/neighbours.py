@@ -181,7 +181,7 @@ def nearest(
     max_parts: int = 1_024,
     sample_per_part: int = 64,
     calibration: int = 256,
-    recall: float = 0.93,
+    recall: float = 0.94,
     explain: dict | None = None,
 ) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest found of each row whose id is divisible by `every`.

@@ -3,14 +3,15 @@
 Written tokens that look disguised (letters mixed with leetspeak, single letters with separators between them,
 letters three or more times in a row) become lattices: each sign may stand for itself, for the letters that
 leetspeak uses it for, for nothing (a repeat, a separator) or for a word's end. A Viterbi search over the lattice
-under a character trigram model finds the likeliest restored text. The restored and the plain words of a text are
-then scored by logistic regression over learned words and word beginnings.
+under a character trigram model finds the likeliest restored text. The restored text, in which disguised tokens are
+replaced, is then scored by logistic regression over words and word beginnings learned from restored texts.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -81,42 +82,67 @@ class CharModel:
 _SELF, _LEET, _RAW_LEET, _REPEAT, _JOIN, _BREAK = (math.log(p) for p in (0.98, 0.9, 0.1, 0.02, 0.7, 0.3))
 
 
-def viterbi(token: bytes, lm: CharModel) -> bytes:
-    """The likeliest text behind a disguised token (lower case). States are the last two restored bytes."""
-    states: dict[tuple[int, int], float] = {(32, 32): 0.0}
-    back: list[dict] = []
+def emitted(sign: int) -> list[tuple[int, float]]:
+    """What a sign may stand for, with its cost: a byte, or -1 for nothing."""
+    c = chr(sign)
+    if c in SEPARATORS:
+        return [(-1, _JOIN), (32, _BREAK)]
+    if c in LEET:
+        return [(ord(x), _LEET - math.log(len(LEET[c]))) for x in LEET[c]] + [(sign, _RAW_LEET)]
+    return [(sign, _SELF)]
+
+
+def viterbi(token: bytes, lm: CharModel, settle: int = 512) -> bytes:
+    """The likeliest text behind a disguised token (lower case). States are the last two restored bytes.
+
+    A place keeps a number a state: the state before and what was emitted. Every `settle` places the paths of all states are followed
+    back to where they meet; what lies before is decided, given out and forgotten, so a token of any length takes little memory."""
+    states, scores = [(32, 32)], [0.0]
+    back: list[array] = []
+    out = bytearray()
+
+    def trace(i: int, until: int) -> bytes:
+        found = bytearray()
+        for came in reversed(back[:until]):
+            i, c = came[i] >> 9, (came[i] & 511) - 1
+            if c >= 0:
+                found.append(c)
+        return bytes(found[::-1])
+
     for x in token:
-        sign = chr(x)
-        emits: list[tuple[int, float]] = []
-        if sign in SEPARATORS:
-            emits = [(-1, _JOIN), (32, _BREAK)]
-        elif sign in LEET:
-            emits = [(ord(c), _LEET - math.log(len(LEET[sign]))) for c in LEET[sign]] + [(x, _RAW_LEET)]
-        else:
-            emits = [(x, _SELF)]
-        following: dict[tuple[int, int], float] = {}
-        came: dict[tuple[int, int], tuple[tuple[int, int], int]] = {}
-        for (a, b), score in states.items():
+        emits = emitted(x)
+        following: dict[tuple[int, int], int] = {}
+        after, came = [], array("I")
+
+        def reach(state, score, i, c):
+            at = following.get(state)  # noqa: B023
+            if at is None:
+                following[state] = len(after)  # noqa: B023
+                after.append(score)  # noqa: B023
+                came.append(i << 9 | c + 1)  # noqa: B023
+            elif score > after[at]:  # noqa: B023
+                after[at], came[at] = score, i << 9 | c + 1  # noqa: B023
+
+        for i, ((a, b), score) in enumerate(zip(states, scores, strict=True)):
             for c, cost in emits:
-                if c >= 0:
-                    state, s = (b, c), score + cost + lm.logp(a, b, c)
-                    if c == b:  # a repeat of what has been restored: it may be nothing
-                        again, r = (a, b), score + _REPEAT
-                        if r > following.get(again, -1e300):
-                            following[again], came[again] = r, ((a, b), -1)
+                if c < 0:
+                    reach((a, b), score + cost, i, -1)
                 else:
-                    state, s = (a, b), score + cost
-                if s > following.get(state, -1e300):
-                    following[state], came[state] = s, ((a, b), c)
-        states = following
+                    if c == b:  # a repeat of what has been restored: it may be nothing
+                        reach((a, b), score + _REPEAT, i, -1)
+                    reach((b, c), score + cost + lm.logp(a, b, c), i, c)
+        states, scores = list(following), after
         back.append(came)
-    state = max(states, key=lambda st: (states[st] + lm.logp(st[0], st[1], 32), st))
-    out = bytearray()
-    for came in reversed(back):
-        state, c = came[state]
-        if c >= 0:
-            out.append(c)
-    return bytes(out[::-1]).strip()
+        if len(back) % settle == 0:
+            alive, t = set(range(len(states))), len(back)
+            while t and len(alive) > 1:
+                t -= 1
+                alive = {back[t][i] >> 9 for i in alive}
+            if t:
+                out += trace(alive.pop(), t)
+                del back[:t]
+    last = max(range(len(states)), key=lambda i: (scores[i] + lm.logp(*states[i], 32), states[i]))
+    return bytes(out + trace(last, len(back))).strip()
 
 
 _spelled = re.compile(rb"[^ .\-_*](?:[ .\-_*][^ .\-_*]){2,}")
@@ -142,9 +168,7 @@ class Restorer:
         if letters:
             if _spelled.fullmatch(core) or _triple.search(core):
                 out = viterbi(core, self.lm)
-            elif any(chr(x) in LEET for x in core) and (letters * 2 >= len(core) or len(core) <= 8):
-                out = viterbi(core, self.lm)
-            elif re.search(rb"[a-z]{1,3}[.\-_*][a-z]{1,3}", core):
+            elif any(chr(x) in LEET for x in core) or re.search(rb"[a-z]{1,3}[.\-_*][a-z]{1,3}", core):
                 out = viterbi(core, self.lm)
             if out == core:
                 out = None
@@ -154,11 +178,11 @@ class Restorer:
             self.known[raw] = out
         return out
 
-    def find(self, data: np.ndarray, offsets: np.ndarray) -> tuple[list[bytes], list[int]]:
-        """Restored tokens of lower-case texts, and the text of each."""
+    def find(self, data: np.ndarray, offsets: np.ndarray) -> tuple[list[bytes], list[int], list[tuple[int, int]]]:
+        """Restored tokens of lower-case texts, the text of each, and where what was written stands."""
         words = Words(data, offsets)
         if not len(words.start):
-            return [], []
+            return [], [], []
         letter, leet, inner = (np.append(0, np.cumsum(t[data])) for t in (_IS_LETTER, _IS_LEET, _IS_INNER))
         triple = np.zeros(len(data), np.int64)
         if len(data) > 2:
@@ -168,12 +192,13 @@ class Restorer:
         has = letter[e] > letter[s]
         odd = has & ((leet[e] > leet[s]) | (triple[np.maximum(e - 2, s)] > triple[s]) | (inner[np.maximum(e - 2, s)] > inner[np.minimum(s + 1, e)]))
         buf = data.tobytes()
-        out, docs = [], []
+        out, docs, spans = [], [], []
         for i in np.flatnonzero(odd):
             got = self.token(buf[s[i] : e[i]])
             if got:
                 out.append(got)
                 docs.append(int(words.doc[i]))
+                spans.append((int(s[i]), int(e[i])))
         # Three or more tokens of one sign each, in a row: a spelled word
         lone = (e - s) == 1
         lone &= _IS_LETTER[data[s]] | _IS_LEET[data[s]] | (data[s] == 33)
@@ -186,7 +211,8 @@ class Restorer:
                     if got:
                         out.append(got)
                         docs.append(int(words.doc[x]))
-        return out, docs
+                        spans.append((int(s[x]), int(e[y - 1])))
+        return out, docs, spans
 
 
 def features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -208,16 +234,18 @@ def features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 
 def all_features(texts: pa.Array, restorer: Restorer | None) -> tuple[np.ndarray, np.ndarray]:
+    """Features of texts; with a restorer those of the restored texts, in which disguised tokens are replaced."""
     data, offsets = flat(texts)
     data = lowered(data)
+    found, docs, spans = restorer.find(data, offsets) if restorer is not None else ([], [], [])
+    for a, b in spans:
+        data[a:b] = 32
     h, d = features(data, offsets)
-    if restorer is not None:
-        found, docs = restorer.find(data, offsets)
-        if found:
-            more = np.frombuffer(b"".join(found), np.uint8)
-            bounds = np.append(0, np.cumsum([len(x) for x in found]))
-            h2, d2 = features(more, bounds)
-            h, d = np.concatenate([h, h2]), np.concatenate([d, np.asarray(docs)[d2]])
+    if found:
+        more = np.frombuffer(b"".join(found), np.uint8)
+        bounds = np.append(0, np.cumsum([len(x) for x in found]))
+        h2, d2 = features(more, bounds)
+        h, d = np.concatenate([h, h2]), np.concatenate([d, np.asarray(docs)[d2]])
     return h, d
 
 
@@ -261,15 +289,23 @@ def held_out(id_col: str):
     return F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(5)) == 0
 
 
+def together(held: list) -> tuple[np.ndarray, np.ndarray]:
+    """Counts of equal keys added up."""
+    k, back = np.unique(np.concatenate([x for x, _ in held]), return_inverse=True)
+    return k, np.bincount(back, weights=np.concatenate([n for _, n in held]), minlength=len(k)).astype(np.int64)
+
+
 class Model:
     def __init__(self, bias: float, hashes: np.ndarray, weights: np.ndarray, trigrams: dict[int, int]):
         self.bias, self.hashes, self.weights, self.trigrams = bias, hashes, weights, trigrams
 
 
-def train(docs: DataFrame, labels: DataFrame, max_training_rows: int = 40_000, max_candidates: int = 100_000, max_features: int = 1_000) -> Model:
-    """docs: doc_id, text; labels: doc_id, toxic. Learns from labelled rows outside the held-out fold: all, or a
-    hash sample of about max_training_rows. Of texts that share their smallest shingle hash (copies) one counts,
-    so that a group of copies is no evidence for all of its words."""
+def train(docs: DataFrame, labels: DataFrame, max_training_rows: int = 40_000, max_candidates: int = 100_000, max_features: int = 1_000, max_trigrams: int = 100_000, ratio: float = 8.0) -> Model:
+    """docs: doc_id, text; labels: doc_id, toxic. The character model counts the byte trigrams of all documents (the
+    max_trigrams commonest are kept, of ties the smaller; others are backed off). The classifier learns from the restored texts of labelled rows outside the
+    held-out fold: all, or a hash sample of about max_training_rows. Of texts that share their smallest shingle hash (copies) one counts,
+    so that a group of copies is no evidence for all of its words. Candidates are the max_candidates commonest features of toxic
+    texts; those `ratio` times commoner there than in others are ranked by their evidence, and the best max_features are learned."""
     spark = docs.sparkSession
     scratch = Scratch(spark)
     known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out("doc_id"))
@@ -297,9 +333,10 @@ def train(docs: DataFrame, labels: DataFrame, max_training_rows: int = 40_000, m
 
     def count(only: Lexicon | None):
         def run(batches):
+            restorer = Restorer(CharModel(lm))
             for batch in batches:
                 for a, b in pieces(batch.column(0)):
-                    h, d = all_features(batch.column(0).slice(a, b - a), None)
+                    h, d = all_features(batch.column(0).slice(a, b - a), restorer)
                     if only is None:
                         order = np.lexsort((h, d))
                         h, d = h[order], d[order]
@@ -314,26 +351,34 @@ def train(docs: DataFrame, labels: DataFrame, max_training_rows: int = 40_000, m
         return run
 
     def trigrams(batches):
+        held, size = [], 0
         for batch in batches:
             for a, b in pieces(batch.column(0)):
                 data, _ = flat(batch.column(0).slice(a, b - a))
                 data = lowered(data)
-                data = np.where(_IS_LETTER[data], data, 32).astype(np.int64)
-                data = np.concatenate([[32, 32], data, [32]])
-                k = data[:-2] << 16 | data[1:-1] << 8 | data[2:]
-                k = k[~((data[1:-1] == 32) & (data[2:] == 32))]
-                second = (data[:-2] != 32) & (data[1:-1] == 32) & (data[2:] != 32)  # a word's first letter follows two borders
-                k = np.where(k >> 8 & 0xFF == 32, 32 << 16 | k & 0xFFFF, k) if second.any() else k
-                value, times = np.unique(k, return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(value), pa.array(times.astype(np.int64))], ["k", "n"])
-
-    grams = sample.select("text").mapInArrow(trigrams, "k long, n long").groupBy("k").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "k").limit(60_000).collect()
-    grams = {r.k: r.n for r in grams}
+                data = np.where(_IS_LETTER[data], data, 32).astype(np.uint32)
+                data = np.concatenate([np.full(2, 32, np.uint32), data, np.full(1, 32, np.uint32)])
+                one, two, three = data[:-2], data[1:-1], data[2:]
+                one = np.where(two == 32, np.uint32(32), one)  # a word's first letter follows two borders
+                k = (one << np.uint32(16) | two << np.uint32(8) | three)[(two != 32) | (three != 32)]
+                k = np.sort(k)
+                at = np.flatnonzero(np.append(True, k[1:] != k[:-1])) if len(k) else np.zeros(0, np.int64)
+                held.append((k[at], np.diff(np.append(at, len(k)))))
+                size += len(at)
+                if size > 2_000_000:
+                    held = [together(held)]
+                    size = len(held[0][0])
+        if held:
+            k, n = together(held)
+            yield pa.RecordBatch.from_arrays([pa.array(k.astype(np.int64)), pa.array(n.astype(np.int64))], ["k", "n"])
+
+    grams = docs.select("text").mapInArrow(trigrams, "k long, n long").groupBy("k").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "k").limit(max_trigrams).toPandas()
+    lm = dict(zip(grams["k"].tolist(), grams["n"].tolist(), strict=True))
     totals = {r.toxic: r["count"] for r in rows.groupBy("toxic").count().collect()}
     n1, n0 = totals.get(1, 0), totals.get(0, 0)
     if not n1 or not n0:
         bias = math.log((n1 + 0.5) / (n0 + 0.5)) if n1 + n0 else math.log(0.05)
-        return Model(bias, np.zeros(0, np.uint64), np.zeros(0), grams)
+        return Model(bias, np.zeros(0, np.uint64), np.zeros(0), lm)
     bad = rows.where("toxic = 1").select("text").mapInArrow(count(None), "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
     bad = bad.where(F.col("n") >= max(3, n1 // 1000)).orderBy(F.desc("n"), "h").limit(max_candidates).toPandas()
     lex = Lexicon(bad["h"].to_numpy(np.int64).view(np.uint64))
@@ -343,11 +388,9 @@ def train(docs: DataFrame, labels: DataFrame, max_training_rows: int = 40_000, m
     ranked = []
     for h, k1 in c1.items():
         p1, p0 = (k1 + 0.5) / (n1 + 1), (c0.get(h, 0) + 0.5) / (n0 + 1)
-        if p1 >= 8 * p0:
+        if p1 >= ratio * p0:
             ranked.append((-k1 * math.log(p1 / p0), h))
     chosen = Lexicon(np.array([h for _, h in sorted(ranked)[:max_features]], np.int64).view(np.uint64))
-    lm = dict(grams)
-
     def presence(batches):
         restorer = Restorer(CharModel(lm))
         for batch in batches:
@@ -364,7 +407,7 @@ def train(docs: DataFrame, labels: DataFrame, max_training_rows: int = 40_000, m
     cols = np.array([c for x in each for c in x], np.int64)
     bias, weights = fit_logistic(at, cols, y, len(chosen.hashes))
     scratch.drop(known, sample)
-    return Model(bias, chosen.hashes, weights, grams)
+    return Model(bias, chosen.hashes, weights, lm)
 
 
 def score(docs: DataFrame, model: Model, restored: bool = False, carry: bool = False) -> DataFrame:
@@ -384,7 +427,7 @@ def score(docs: DataFrame, model: Model, restored: bool = False, carry: bool = F
                 if restored:
                     data, offsets = flat(texts)
                     rows: list[list[str]] = [[] for _ in range(b - a)]
-                    for x, d in zip(*restorer.find(lowered(data), offsets), strict=True):
+                    for x, d, _ in zip(*restorer.find(lowered(data), offsets), strict=True):
                         rows[d].append(x.decode("utf-8", "replace"))
                     columns.append(pa.array(rows, pa.list_(pa.string())))
                 yield pa.RecordBatch.from_arrays(columns, names)
@@ -400,9 +443,9 @@ def score(docs: DataFrame, model: Model, restored: bool = False, carry: bool = F
 def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_training_rows: int = 40_000) -> DataFrame:
     """doc_id, held_out, score, predicted for every document.
 
-    Scores use the text alone. The model is of fixed size (at most 1,000 features and 60,000 trigrams) and travels
+    Scores use the text alone. The model is of bounded size (at most 1,000 features and 100,000 trigrams) and travels
     with the code; the corpus is never shuffled. Defined results: a null or empty text gets the score of a text
-    without any learned feature; null labels are not learned from, of several labels of a document the highest
+    without any learned feature; a very long text is read whole, in a block of its own; a score of 0.5 is predicted toxic; null labels are not learned from, of several labels of a document the highest
     counts; with labels of one kind only, or none, all texts get the same score; rows that repeat score alike;
     a null doc_id is not held out; other columns are ignored; an empty table gives no rows.
     """

@@ -309,6 +309,60 @@ def test_viterbi_restores_disguised_words():
         assert r.token(clean) is None
 
 
+def every_reading(token, lm):
+    """All texts that a token may stand for, with the score of the best way to each."""
+    from quillgraph.llm import toxicity as t
+
+    best = {}
+
+    def go(at, a, b, text, score):
+        if at == len(token):
+            score += lm.logp(a, b, 32)
+            best[text] = max(score, best.get(text, -1e300))
+            return
+        for c, cost in t.emitted(token[at]):
+            if c < 0:
+                go(at + 1, a, b, text, score + cost)
+                continue
+            go(at + 1, b, c, text + bytes([c]), score + cost + lm.logp(a, b, c))
+            if c == b:
+                go(at + 1, a, b, text, score + t._REPEAT)
+
+    go(0, 32, 32, b"", 0.0)
+    return best
+
+
+def test_viterbi_against_every_reading():
+    from quillgraph.llm.toxicity import CharModel, viterbi
+
+    rs = np.random.RandomState(16)
+    corpus = " ".join(rs.choice("idiot toxic stupid small letters test tall silly".split(), 300)).encode()
+    lm = CharModel(Counter(a << 16 | b << 8 | c for a, b, c in zip(b"  " + corpus, b" " + corpus, corpus, strict=False)))
+    for _ in range(150):
+        token = bytes(rs.choice(list(b"istolde1450!@| .-*"), rs.randint(1, 7)).tolist())
+        best = every_reading(token, lm)
+        top = max(best.values())
+        for settle in (1, 3, 512):
+            got = viterbi(token, lm, settle)
+            assert any(abs(s - top) < 1e-9 for x, s in best.items() if x.strip() == got), (token, got)
+
+
+def test_viterbi_of_long_tokens_takes_little_memory():
+    import tracemalloc
+
+    from quillgraph.llm.toxicity import CharModel, Restorer, viterbi
+
+    lm = CharModel(Counter({32 << 16 | 32 << 8 | 97: 5, 32 << 16 | 97 << 8 | 98: 5}))
+    token = b"a.b " * 15_000
+    whole = viterbi(token, lm, settle=10**9)
+    tracemalloc.start()
+    assert viterbi(token, lm) == whole
+    assert tracemalloc.get_traced_memory()[1] < 2_000_000
+    tracemalloc.stop()
+    # A long token that is mostly signs is decoded as well
+    assert Restorer(lm).token(b"4" * 20 + b"b") is not None
+
+
 def test_toxicity_on_held_out_documents(spark):
     from quillgraph.llm.toxicity import toxicity
 
