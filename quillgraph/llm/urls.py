@@ -26,6 +26,8 @@ RULES = (
 )
 SUFFIXES = ("s_tld", "s_domain", "s_ext")
 UNIT = 1 << 20
+#: Parts of the training URLs; a URL's suffix shares come from the other parts.
+FOLDS = 5
 
 
 def split_url(url: str) -> dict:
@@ -153,7 +155,8 @@ def judge(
     The trees learn from URLs that a rule labels (block is 1), or from a hash sample of about
     `max_training_rows` of them where there are more. Their features are length, depth, digit ratio,
     entropy, parameter counts and, for the top-level domain, domain and file extension, the smoothed share
-    of blocked URLs among labelled ones. The suffix table has at most three rows per training row.
+    of blocked URLs among labelled ones (for a training URL among those of other folds). The suffix table has at most three rows
+    per training row. Very long URLs are read whole; of splits that tie the first feature and bin win; a margin of 0 allows.
     Defined results: a null URL or one without :// has empty host and path, no rule, and the trees'
     verdict; with no labelled URL all others are allowed; with labels of one kind that kind is the verdict.
     Repeated rows are judged alike. Columns other than the two named ones are ignored. An empty table gives
@@ -176,26 +179,32 @@ def judge(
     if n > max_training_rows:
         labelled = labelled.where(F.expr(f"pmod(xxhash64(u), {UNIT}) < {int(UNIT * max_training_rows / n) + 1}"))
     lex, suf = lexical(), suffixes()
-    train = scratch.table(labelled.selectExpr("int(ruled = 'block') AS y", *[f"{e} AS {k}" for k, e in lex.items()], *[f"{e} AS {k}" for k, e in suf.items()]))
+    fold = f"int(pmod(xxhash64(u, 17), {FOLDS})) AS fold"
+    train = scratch.table(labelled.selectExpr("int(ruled = 'block') AS y", fold, *[f"{e} AS {k}" for k, e in lex.items()], *[f"{e} AS {k}" for k, e in suf.items()]))
     share = blocked / n
-    stats = reduce(
+    smoothed = f"int(63 * ({{0}} + 8 * double({share!r})) / ({{1}} + 8))"
+    by_fold = reduce(
         DataFrame.unionByName,
-        [train.groupBy(F.lit(k).alias("kind"), F.col(k).alias("value")).agg(F.expr(f"int(63 * (sum(y) + 8 * double({share!r})) / (count(*) + 8))").alias("share")) for k in suf],
+        [train.groupBy(F.lit(k).alias("kind"), F.col(k).alias("value"), "fold").agg(F.count("*").alias("n"), F.sum("y").alias("pos")) for k in suf],
     )
-    stats = scratch.table(stats.coalesce(1))
+    by_fold = scratch.table(by_fold)
+    total = by_fold.groupBy("kind", "value").agg(F.sum("n").alias("all_n"), F.sum("pos").alias("all_pos"))
+    stats = scratch.table(total.selectExpr("kind", "value", smoothed.format("all_pos", "all_n") + " AS share"))
+    # The trees learn from shares without a URL's own fold, so that no label is told by itself
+    others = scratch.table(by_fold.join(total, ["kind", "value"]).selectExpr("kind", "value", "fold", smoothed.format("(all_pos - pos)", "(all_n - n)") + " AS share"))
     features = [*lex, *[f"r{k}" for k in suf]]
 
-    def with_shares(df: DataFrame) -> DataFrame:
+    def with_shares(df: DataFrame, table: DataFrame, *on: str) -> DataFrame:
         for k in suf:
-            own = stats.where(F.col("kind") == k).select(F.col("value").alias(k), F.col("share").alias(f"r{k}"))
-            df = df.join(F.broadcast(own), k, "left").fillna({f"r{k}": int(63 * share)})
+            own = table.where(F.col("kind") == k).select(F.col("value").alias(k), *on, F.col("share").alias(f"r{k}"))
+            df = df.join(F.broadcast(own), [k, *on], "left").fillna({f"r{k}": int(63 * share)})
         return df
 
-    grouped = scratch.table(with_shares(train).groupBy(*features).agg(F.count("*").alias("n"), F.sum("y").alias("n_pos")).coalesce(4))
+    grouped = scratch.table(with_shares(train, others, "fold").groupBy(*features).agg(F.count("*").alias("n"), F.sum("y").alias("n_pos")))
     prior, trees = boost(grouped, features, rounds, depth, rate)
-    scratch.drop(train, grouped)
+    scratch.drop(train, grouped, by_fold, others)
     margin = " + ".join([f"double({prior!r})", *trees])
-    scored = with_shares(base.selectExpr("page_id", "host", "path", "rule", "ruled", *[f"{e} AS {k}" for k, e in lex.items()], *[f"{e} AS {k}" for k, e in suf.items()]))
+    scored = with_shares(base.selectExpr("page_id", "host", "path", "rule", "ruled", *[f"{e} AS {k}" for k, e in lex.items()], *[f"{e} AS {k}" for k, e in suf.items()]), stats)
     return scored.select(
         *out,
         F.expr(f"coalesce(ruled, CASE WHEN {margin} > 0 THEN 'block' ELSE 'allow' END)").alias("verdict"),
