@@ -36,6 +36,7 @@ def parser() -> argparse.ArgumentParser:
     c.add_argument("--output", required=True)
     c.add_argument("--offset", type=int, default=0)
     c.add_argument("--limit", type=int)
+    c.add_argument("--cot", action="store_true")
     return p
 
 
@@ -72,9 +73,12 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
         return
     from quillgraph.functions.rows import numbered
 
-    asked = numbered(sources.read_jsonl(spark, args.dataset).where("question IS NOT NULL"), "source", "question").withColumn("row_idx", F.col("place") - 1)
+    # Rows as they stand in the file
+    lines = sources.read_jsonl(spark, args.dataset).select("*", F.input_file_name().alias("file"), F.input_file_block_start().alias("block"), F.monotonically_increasing_id().alias("line"))
+    asked = numbered(lines, "file", "block", "line").withColumn("row_idx", F.col("place") - 1)
     prior = asked.select("question", "answer", F.col("row_idx").alias("line"))
-    engine.batch_query(asked.select("row_idx", "question"), prior, args.offset, args.limit).write.mode("overwrite").json(args.output)
+    spark.createDataFrame([], "row_idx long, question string, answer string, failed boolean").write.mode("overwrite").json(args.output)
+    print(engine.run_batch(asked.select("row_idx", "question"), lambda step: step.write.mode("append").json(args.output), prior, args.offset, args.limit, args.cot))
 
 
 if __name__ == "__main__":

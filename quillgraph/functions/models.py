@@ -69,17 +69,17 @@ RERANK_DOCS, RERANK_TOKENS, RERANK_CHARS = 500, 120_000, 4_000
 
 
 def rerank_batches(query: str, texts: list[str], max_docs: int = RERANK_DOCS, max_tokens: int = RERANK_TOKENS) -> list[list[int]]:
-    """Places of the texts of each call."""
-    out: list[list[int]] = []
-    held, size = [], 2 * len(query)
-    for i, t in enumerate(texts):
-        cost = 2 * min(len(t), RERANK_CHARS)
-        if held and (len(held) >= max_docs or size + cost > max_tokens):
-            out.append(held)
-            held, size = [], 2 * len(query)
-        held.append(i)
-        size += cost
-    return [*out, held] if held else out
+    """Places of the texts of each call: the longest ranges of at most max_docs texts whose running costs fit what the query leaves
+    of max_tokens; a text that doesn't fit alone has a call of its own."""
+    running = np.concatenate([[0], np.cumsum([2 * min(len(t), RERANK_CHARS) for t in texts], dtype=np.int64)])
+    room = max_tokens - 2 * len(query)
+    calls, at = [], 0
+    while at < len(texts):
+        reach = int(np.searchsorted(running, running[at] + room, side="right")) - 1
+        end = max(at + 1, min(reach, at + max_docs))
+        calls.append(list(range(at, end)))
+        at = end
+    return calls
 
 
 def rerank_all(query: str, texts: list[str], call: Callable[[str, list[str]], list[float]], top_k: int) -> list[tuple[int, float | None]]:

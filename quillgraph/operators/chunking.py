@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_right
 from collections.abc import Callable, Iterator
+from functools import lru_cache
+from itertools import accumulate, pairwise
 
 import numpy as np
 import pandas as pd
@@ -40,53 +43,43 @@ def section_chunks(docs: DataFrame, max_tokens: int, key: str = "doc_id", text:
 
 
 def pack_groups(groups: list[str], min_size: int, max_size: int) -> list[str]:
-    """Greedy packing of joined groups: a buffer grows while its length and the next group's stay within max_size (the
-    space between isn't counted); a buffer under min_size is added to the chunk before it; a group is never cut."""
-    out: list[str] = []
-    held = ""
-
-    def flush(s: str):
-        if len(s) < min_size and out:
-            out[-1] += " " + s
-        else:
-            out.append(s)
-
-    for g in groups:
-        if not g:
-            continue
-        if held and len(held) + len(g) > max_size:
-            flush(held)
-            held = g
-        else:
-            held = f"{held} {g}" if held else g
-    if held:
-        flush(held)
-    return out
+    """Joins groups to chunks. From the sums of the groups' sizes it is looked up how far a chunk reaches: all groups whose sizes,
+    with the spaces inside what stands before the last one, stay within max_size, and one at least. A chunk under min_size
+    belongs to the one before it; a group is never cut."""
+    full = [g for g in groups if g]
+    ends = [0, *accumulate(len(g) + 1 for g in full)]
+    cuts = [0]
+    while cuts[-1] < len(full):
+        cuts.append(max(cuts[-1] + 1, bisect_right(ends, ends[cuts[-1]] + max_size + 2) - 1))
+    sizes = [ends[b] - ends[a] - 1 for a, b in pairwise(cuts)]
+    starts = [a for i, (a, size) in enumerate(zip(cuts, sizes, strict=False)) if not i or size >= min_size]
+    return [" ".join(full[a:b]) for a, b in pairwise([*starts, len(full)])] if full else []
 
 
 def offsets(text: str, chunks: list[str]) -> list[tuple[int, int]]:
-    """Where each chunk's first 20 characters stand from the end of the one before on, else that end."""
-    out, at = [], 0
-    for c in chunks:
-        start = text.find(c[:20], at)
-        start = at if start < 0 else start
-        at = start + len(c)
-        out.append((start, at))
-    return out
+    """The span of each chunk: it starts where its first 20 characters are next found, or where the last span ends."""
+
+    def after(last: tuple[int, int], chunk: str) -> tuple[int, int]:
+        found = text.find(chunk[:20], last[1])
+        return (start := found if found >= 0 else last[1]), start + len(chunk)
+
+    return list(accumulate(chunks, after, initial=(0, 0)))[1:]
+
+
+@lru_cache(maxsize=200_000)
+def _place(word: str) -> tuple[int, float]:
+    h = int.from_bytes(hashlib.blake2b(word.encode(), digest_size=8).digest(), "little")
+    return h % DIMENSIONS, 1.0 if h >> 32 & 1 else -1.0
 
 
 def hash_embed(texts: list[str]) -> np.ndarray:
     """The offline embedder: signed feature hashing of words and their neighbours, of length 1; a blank text is zero."""
-    out = np.zeros((len(texts), DIMENSIONS), np.float32)
-    for i, t in enumerate(texts):
-        words = re.findall(r"\w+", t.lower())
-        for w in words:
-            h = int.from_bytes(hashlib.blake2b(w.encode(), digest_size=8).digest(), "little")
-            out[i, h % DIMENSIONS] += 1.0 if h >> 32 & 1 else -1.0
-        n = np.linalg.norm(out[i])
-        if n:
-            out[i] /= n
-    return out
+    words = [[_place(w) for w in re.findall(r"\w+", t.lower())] for t in texts]
+    row = np.repeat(np.arange(len(texts)), [len(w) for w in words])
+    flat = np.array([p for w in words for p in w]).reshape(-1, 2)
+    out = np.bincount(row * DIMENSIONS + flat[:, 0].astype(np.int64), weights=flat[:, 1], minlength=len(texts) * DIMENSIONS).astype(np.float32).reshape(len(texts), DIMENSIONS)
+    n = np.linalg.norm(out, axis=1, keepdims=True)
+    return np.divide(out, n, out=out, where=n > 0)
 
 
 def split_text(text: str, embed: Callable[[list[str]], np.ndarray], threshold: float = 0.75, min_size: int = 50, max_size: int = 2000) -> list[tuple[str, int, int]]:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import time
+
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -56,6 +59,58 @@ def merge_edges(relations: DataFrame) -> DataFrame:
     return relations.groupBy("source", "target").agg(_last("relation", order).alias("relation"), _last("description", order).alias("description"), _refs(order).alias("chunk_refs"))
 
 
+def upsert(stored: DataFrame, new: DataFrame, key: tuple[str, ...]) -> DataFrame:
+    """Stored nodes or edges with those of a later build: of every other column the later value counts unless it is empty, chunk
+    references of the later build follow those stored."""
+    texts = [c for c in new.columns if c not in (*key, "chunk_refs")]
+    both = stored.select(*new.columns, F.lit(0).alias("build")).unionByName(new.withColumn("build", F.lit(1)))
+    refs = F.flatten(F.transform(F.array_sort(F.collect_list(F.when(F.col("chunk_refs").isNotNull(), F.struct("build", "chunk_refs")))), lambda x: x["chunk_refs"]))
+    out = both.groupBy(*key).agg(*[_last(c, F.col("build")).alias(c) for c in texts], refs.alias("chunk_refs"))
+    return out.select(*key, *texts, F.when(F.size("chunk_refs") > 0, F.col("chunk_refs")).alias("chunk_refs"))
+
+
+#: How much of a chunk a model reads, and how often it is asked.
+MODEL_CHARS, MODEL_TRIES = 4_000, 3
+_REPLY = "entities array<struct<name: string, type: string, description: string>>, relations array<struct<source: string, target: string, relation: string, description: string>>"
+_ASK = 'List the entities and relations of the text as JSON: {"entities": [{"name", "type", "description"}], "relations": [{"source", "target", "relation", "description"}]}.'
+
+
+def model_extractor(llm, max_entities: int | None = None, max_relations: int | None = None, wait=None):
+    """An extractor that asks a model about each chunk and takes the marks in the text where it fails or its reply can't be read."""
+
+    def extract(chunks: DataFrame) -> tuple[DataFrame, DataFrame]:
+        from quillgraph.functions.models import with_retries
+        from quillgraph.functions.rows import cut
+        from quillgraph.functions.text import strip_fences
+
+        call = with_retries(llm, MODEL_TRIES, wait or time.sleep)
+
+        @F.pandas_udf("string")
+        def ask(texts: pd.Series) -> pd.Series:
+            out = []
+            for t in texts:
+                try:
+                    out.append(call(f"{_ASK}\n\n{(t or '')[:MODEL_CHARS]}"))
+                except Exception:  # noqa: BLE001  the marks in the text take its place
+                    out.append(None)
+            return pd.Series(out, dtype=object)
+
+        read = cut(chunks.withColumn("reply", F.from_json(strip_fences(F.regexp_extract(ask("text"), r"(?s)\{.*\}", 0)), _REPLY)))
+        bad = F.col("reply").isNull() | (F.col("reply.entities").isNull() & F.col("reply.relations").isNull())
+        keys, left = ("chunk_id", "chunk_seq"), read.where(bad).drop("reply")
+
+        def rows(part: str, most: int | None, names: tuple[str, ...]) -> DataFrame:
+            listed = F.col(f"reply.{part}") if most is None else F.slice(f"reply.{part}", 1, most)
+            df = read.where(~bad).select(*keys, F.posexplode(listed).alias("pos", "m"))
+            return df.select(*keys, "pos", *[F.coalesce(F.col(f"m.{n}"), F.lit("")).alias(n) for n in names])
+
+        entities = rows("entities", max_entities, ("name", "type", "description")).where("name <> ''")
+        relations = rows("relations", max_relations, ("source", "target", "relation", "description")).where("source <> '' AND target <> ''")
+        return entities.unionByName(extract_entities(left, keys=keys)), relations.unionByName(extract_relations(left, keys=keys), allowMissingColumns=True)
+
+    return extract
+
+
 def processed_chunks(nodes: DataFrame) -> DataFrame:
     return nodes.select(F.explode("chunk_refs").alias("chunk_id")).distinct()
 

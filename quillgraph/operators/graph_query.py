@@ -25,14 +25,15 @@ def both_ways(edges: DataFrame) -> DataFrame:
     return pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
 
 
-def neighbours(edges: DataFrame, seeds: DataFrame, hops: int = 2, name: str = "name") -> DataFrame:
-    """Nodes within so many undirected hops of any seed, with their distance. Each hop joins the frontier alone."""
+def neighbours(edges: DataFrame, seeds: DataFrame, hops: int = 2, name: str = "name", key: tuple[str, ...] = ()) -> DataFrame:
+    """Nodes within so many undirected hops of any seed, with their distance; with a key (columns of seeds) for each value of it.
+    Each hop joins the frontier alone."""
     links = both_ways(edges)
-    seen = seeds.select(F.col(name).alias("name")).distinct().withColumn("distance", F.lit(0))
+    seen = seeds.select(*key, F.col(name).alias("name")).distinct().withColumn("distance", F.lit(0))
     frontier = seen
     for hop in range(1, hops + 1):
-        found = frontier.join(links, frontier["name"] == links["a"]).select(F.col("b").alias("name")).distinct()
-        frontier = found.join(seen.select("name"), "name", "left_anti").withColumn("distance", F.lit(hop))
+        found = frontier.join(links, frontier["name"] == links["a"]).select(*key, F.col("b").alias("name")).distinct()
+        frontier = found.join(seen.select(*key, "name"), [*key, "name"], "left_anti").withColumn("distance", F.lit(hop))
         seen = seen.unionByName(frontier)
         if hop % 2 == 0 and hop < hops:
             seen = cut(seen)
@@ -40,36 +41,47 @@ def neighbours(edges: DataFrame, seeds: DataFrame, hops: int = 2, name: str = "n
     return seen
 
 
-def induced_edges(edges: DataFrame, nodes: DataFrame, name: str = "name") -> DataFrame:
-    """Edges with both ends among the nodes; a null label becomes empty."""
-    n = nodes.select(F.col(name).alias("n"))
-    inside = edges.join(n, F.col("source") == F.col("n"), "left_semi").join(n, F.col("target") == F.col("n"), "left_semi")
-    return inside.select("source", "target", F.coalesce("relation", F.lit("")).alias("relation"))
+def induced_edges(edges: DataFrame, nodes: DataFrame, name: str = "name", key: tuple[str, ...] = ()) -> DataFrame:
+    """Edges with both ends among the (distinct) nodes, of each key; a null label becomes empty."""
+    n = nodes.select(*key, F.col(name).alias("n"))
+    if key:
+        inside = edges.join(n.withColumnRenamed("n", "source"), "source").join(n.withColumnRenamed("n", "target"), [*key, "target"])
+    else:
+        inside = edges.join(n, F.col("source") == F.col("n"), "left_semi").join(n, F.col("target") == F.col("n"), "left_semi")
+    return inside.select(*key, "source", "target", F.coalesce("relation", F.lit("")).alias("relation"))
 
 
-def communities_of(communities: DataFrame, seeds: DataFrame, limit: int = 5, name: str = "name") -> DataFrame:
-    """Members of the first communities (in order of id) that hold a seed."""
-    ids = communities.join(seeds.select(name), name, "left_semi").select("community_id").distinct().orderBy("community_id").limit(limit)
-    return communities.join(F.broadcast(ids), "community_id", "left_semi")  # at most `limit` ids
+def communities_of(communities: DataFrame, seeds: DataFrame, limit: int = 5, name: str = "name", key: tuple[str, ...] = ()) -> DataFrame:
+    """Members of the first communities (in order of id) that hold a seed, of each key."""
+    ids = communities.join(seeds.select(*key, name), name).select(*key, "community_id").distinct()
+    if key:
+        ids = ids.withColumn("rn", F.row_number().over(Window.partitionBy(*key).orderBy("community_id"))).where(F.col("rn") <= limit).drop("rn")
+        return communities.join(ids, "community_id").select(*key, "community_id", F.col(name).alias("name"))
+    return communities.join(F.broadcast(ids.orderBy("community_id").limit(limit)), "community_id", "left_semi")  # at most `limit` ids
 
 
-def shortest_paths(edges: DataFrame, seeds: DataFrame, max_hops: int = 50, name: str = "name") -> DataFrame:
-    """One shortest undirected path (the lexicographically smallest) for each pair of seeds source < target that is
+def shortest_paths(edges: DataFrame, seeds: DataFrame, max_hops: int = 50, name: str = "name", key: tuple[str, ...] = ()) -> DataFrame:
+    """One shortest undirected path (the lexicographically smallest) for each pair of seeds source < target (of one key) that is
     connected by 1 to max_hops hops. A search from all seeds at once; a step keeps one path per (seed, node), a seed's search
     goes on until all seeds after it are reached or nothing new is found."""
     links = both_ways(edges)
-    start = seeds.select(F.col(name).alias("source")).distinct()
-    reached = start.select("source", F.col("source").alias("node"), F.array("source").alias("path"))
+    start = cut(seeds.select(*key, F.col(name).alias("source")).distinct())
+    ends = start.withColumnRenamed("source", "node")
+    wanted = start.join(ends, list(key)) if key else start.join(ends, F.col("source") < F.col("node"))  # pairs of the seeds of one question
+    wanted = cut(wanted.where("source < node").select("source", "node").distinct())
+    reached = wanted.select("source").distinct().select("source", F.col("source").alias("node"), F.array("source").alias("path"))
     frontier = reached
-    for hop in range(1, max_hops + 1):
+    for _ in range(max_hops):
         step = frontier.join(links, F.col("node") == F.col("a")).select("source", F.col("b").alias("node"), F.concat("path", F.array("b")).alias("path"))
         best = step.groupBy("source", "node").agg(F.min("path").alias("path"))
         frontier = cut(best.join(reached.select("source", "node"), ["source", "node"], "left_anti"))
         reached = cut(reached.unionByName(frontier))
+        open_ = wanted.join(reached.select("source", "node"), ["source", "node"], "left_anti").select("source").distinct()
+        frontier = frontier.join(open_, "source", "left_semi")  # seeds that have reached all others stop
         if frontier.isEmpty():
             break
-        wanted = start.select(F.col("source").alias("s")).join(start.select(F.col("source").alias("node")), F.col("s") < F.col("node"))  # pairs of the seeds of one question
-        if wanted.join(reached.select(F.col("source").alias("s"), "node"), ["s", "node"], "left_anti").isEmpty():
-            break
-    ends = reached.join(start.select(F.col("source").alias("node")), "node", "left_semi").where("source < node")
-    return ends.select("source", F.col("node").alias("target"), (F.size("path") - 1).alias("length"), "path")
+    found = reached.join(wanted, ["source", "node"], "left_semi").select("source", F.col("node").alias("target"), (F.size("path") - 1).alias("length"), "path")
+    if not key:
+        return found
+    pairs = start.join(ends.withColumnRenamed("node", "target"), list(key)).where("source < target")
+    return pairs.join(found, ["source", "target"]).select(*key, "source", "target", "length", "path")

@@ -26,23 +26,33 @@ def metrics(docs: DataFrame, text: str = "text") -> DataFrame:
     long = F.size(F.filter(sized, lambda x: x > 200))
     cjk, special = T.count_of(t, T.CJK), T.count_of(t, T.BOX_DRAWING)
     total = F.aggregate(sized, F.lit(0).cast("long"), lambda a, x: a + x)
-    return df.withColumns(
+    found = {
+        "char_count": n,
+        "line_count": lines,
+        "chinese_char_count": cjk,
+        "nonblank_lines": full,
+        "section_count": F.size(F.filter("_full", lambda x: T.strip(x).startswith("#"))),
+        "has_toc": F.contains(F.substring(t, 1, 500), F.lit("目")),
+        "_special": special,
+        "_total": total,
+        "_short": short,
+        "_long": long,
+        "_kinds": F.size(F.array_distinct("_full")),
+    }
+    # One row of counts a text, made by a generator: conditions on what follows aren't pushed below it, so it is made once
+    counted = df.select(*docs.columns, F.explode(F.array(F.struct(*[c.alias(k) for k, c in found.items()]))).alias("_m")).select(*docs.columns, "_m.*")
+    n, lines, full = F.col("char_count"), F.col("line_count"), F.col("nonblank_lines")
+    return counted.withColumns(
         {
-            "char_count": n,
-            "line_count": lines,
-            "chinese_char_count": cjk,
-            "nonblank_lines": full,
-            "section_count": F.size(F.filter("_full", lambda x: T.strip(x).startswith("#"))),
-            "has_toc": F.contains(F.substring(t, 1, 500), F.lit("目")),
-            "chinese_ratio": _ratio(cjk, n),
-            "special_char_ratio": _ratio(special, n),
+            "chinese_ratio": _ratio(F.col("chinese_char_count"), n),
+            "special_char_ratio": _ratio(F.col("_special"), n),
             "empty_line_ratio": F.when(lines == 0, F.lit(0.0)).otherwise(1 - full / lines),
-            "avg_line_length": _ratio(total, full),
-            "short_line_ratio": _ratio(short, full),
-            "long_line_ratio": _ratio(long, full),
-            "repetition_line_ratio": F.when(full == 0, F.lit(0.0)).otherwise(1 - F.size(F.array_distinct("_full")) / full),
+            "avg_line_length": _ratio(F.col("_total"), full),
+            "short_line_ratio": _ratio(F.col("_short"), full),
+            "long_line_ratio": _ratio(F.col("_long"), full),
+            "repetition_line_ratio": F.when(full == 0, F.lit(0.0)).otherwise(1 - F.col("_kinds") / full),
         }
-    ).drop("_lines", "_full")
+    ).drop("_special", "_total", "_short", "_long", "_kinds")
 
 
 def score(df: DataFrame) -> DataFrame:

@@ -92,6 +92,14 @@ def quality_filter_reasons(spark, sf):
     return quality.split(_judged(spark, sf))[1].select("doc_id", "filter_reason")
 
 
+_DEFAULTS = _QUALITY.replace("    CASE WHEN round(special_char_ratio, 6)", "    CASE WHEN round(chinese_ratio, 4) < 0.01 THEN format('low_chinese_ratio({:.2f}<0.01)', round(chinese_ratio, 4)) END,\n    CASE WHEN round(special_char_ratio, 6)")
+
+
+@query("quality_filter_defaults", f"WITH {_DEFAULTS} SELECT doc_id, filter_reason FROM r WHERE filter_reason IS NOT NULL")
+def quality_filter_defaults(spark, sf):
+    return quality.split(quality.filter_reasons(_scored(spark, sf)))[1].select("doc_id", "filter_reason")
+
+
 @query("quality_pass_ids", f"WITH {_QUALITY} SELECT doc_id FROM r WHERE filter_reason IS NULL")
 def quality_pass_ids(spark, sf):
     judged = _judged(spark, sf)
@@ -429,9 +437,9 @@ def induced_edges(spark, sf):
     return graph_query.induced_edges(edges, graph_query.neighbours(edges, _seed(spark, "S_1"), 2))
 
 
-@query("shortest_path_lengths", f"WITH RECURSIVE {_STAR_SMALL}, {_LINKS}, s AS (SELECT 'S_' || s_suppkey AS name FROM supplier ORDER BY 1 LIMIT 10), r(source, node, d) AS (SELECT name, name, 0 FROM s UNION SELECT source, b, d + 1 FROM r JOIN l ON a = node WHERE d < 12) SELECT source, node AS target, min(d)::INT AS length FROM r WHERE node IN (SELECT name FROM s) AND source < node GROUP BY ALL")
+@query("shortest_path_lengths", f"WITH RECURSIVE {_STAR}, {_LINKS}, s AS (SELECT 'S_' || s_suppkey AS name FROM supplier ORDER BY 1 LIMIT 10), r(source, node, d) AS (SELECT name, name, 0 FROM s UNION SELECT source, b, d + 1 FROM r JOIN l ON a = node WHERE d < 6) SELECT source, node AS target, min(d)::INT AS length FROM r WHERE node IN (SELECT name FROM s) AND source < node GROUP BY ALL")
 def shortest_path_lengths(spark, sf):
-    nodes, edges = star(spark, sf, small=True)
+    nodes, edges = star(spark, sf)
     seeds = graph_query.match_entities(nodes, ["s_"])
     return graph_query.shortest_paths(edges, seeds).drop("path")
 

@@ -51,8 +51,8 @@ def read_text(spark: SparkSession, path: str, source: str | None = None) -> Data
     return df.withColumn("source", F.lit(source or path))
 
 
-def read_directory(spark: SparkSession, path: str, pattern: str = "*.txt") -> DataFrame:
-    """source (the file's stem) and text; of equal stems the last name counts."""
+def read_directory(spark: SparkSession, path: str, pattern: str | None = None) -> DataFrame:
+    """source (the file's stem) and text of all files of a folder, or of those of a pattern; of equal stems the last name counts."""
     df = decoded(_binary(spark, path, pattern, False)).withColumn("source", F.regexp_replace("file", r"\.[^.]*$", ""))
     return df.groupBy("source").agg(F.max_by("text", "file").alias("text"))
 
@@ -100,9 +100,20 @@ def write_markdown(docs: DataFrame, path: str, key: str = "id", text: str = "tex
 
 
 def write_state(tables: dict[str, DataFrame], path: str) -> None:
-    """The engine's state: a parquet table each."""
+    """The engine's state: a parquet table each. All are written beside the old state, which is replaced only when they are complete, so
+    they may be read from it."""
+    if not tables:
+        return
+    spark = next(iter(tables.values())).sparkSession
+    to = spark._jvm.org.apache.hadoop.fs.Path(path.rstrip("/"))
+    new = spark._jvm.org.apache.hadoop.fs.Path(path.rstrip("/") + ".new")
+    fs = to.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.delete(new, True)
     for name, df in tables.items():
-        df.write.mode("overwrite").parquet(f"{path}/{name}")
+        df.write.parquet(f"{new}/{name}")
+    fs.delete(to, True)
+    if not fs.rename(new, to):
+        raise OSError(f"{new} could not be moved to {to}")
 
 
 def read_state(spark: SparkSession, path: str, names: tuple[str, ...]) -> dict[str, DataFrame]:

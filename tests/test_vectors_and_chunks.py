@@ -161,7 +161,8 @@ def test_sources_and_sinks(spark, tmp_path):
     (d / "c.txt").write_bytes(b"\xff\xfe\x81 latin")
     (d / "sub" / "x.PDF").write_bytes(b"%PDF")
     assert {r.id: r.text for r in sources.read_markdown(spark, str(d)).collect()} == {"a": "标题", "b": "压力"}
-    assert sources.read_directory(spark, str(d)).first().source == "c"
+    assert {r.source for r in sources.read_directory(spark, str(d)).collect()} == {"a", "b.md", "c"}  # all files of the folder
+    assert [r.source for r in sources.read_directory(spark, str(d), "*.txt").collect()] == ["c"]
     assert [r.file for r in sources.find_documents(spark, str(d)).collect()] == ["x.PDF"]
     assert sources.read_text(spark, str(d / "a.md"), "k").first().source == "k"
     (tmp_path / "q.jsonl").write_text('{"question": "a"}\n\n{"question": "b", "source": "s"}\n')
