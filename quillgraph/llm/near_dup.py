@@ -341,8 +341,10 @@ def keep_one(docs: DataFrame, percent: int = 85) -> DataFrame:
 
     @F.pandas_udf("k1 long, k2 long")
     def keys_of(texts: pd.Series) -> pd.DataFrame:
-        k1, k2 = set_keys(*distinct_shingles(pa.array(texts, pa.string())))
-        return pd.DataFrame({"k1": k1.view(np.int64), "k2": k2.view(np.int64)})
+        strings = pa.array(texts, pa.string())
+        found = [np.stack(set_keys(*distinct_shingles(strings.slice(a, b - a)))) for a, b in pieces(strings)]
+        k1, k2 = np.concatenate(found, axis=1).view(np.int64) if found else np.zeros((2, 0), np.int64)
+        return pd.DataFrame({"k1": k1, "k2": k2})
 
     rest = marked.where("maybe").withColumn("keys", keys_of("text"))
     same = (F.col("doc_id") == F.col("odd_id")) & (F.col("keys.k1") == F.col("k1")) & (F.col("keys.k2") == F.col("k2"))
