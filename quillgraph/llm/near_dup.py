@@ -334,26 +334,30 @@ def keep_one(docs: DataFrame, percent: int = 85) -> DataFrame:
     """
     docs, names = docs.toDF(*(c if c in ("doc_id", "text") else f"c{i}" for i, c in enumerate(docs.columns))), docs.columns
     scratch = Scratch(docs.sparkSession)
-    found = near_duplicates(docs, percent=percent, keys=True).where("doc_id IS NOT NULL AND n_shingles > 0")
-    found = found.groupBy("doc_id", "k1", "k2").agg(F.count("*").alias("n"), F.max("kept").alias("kept"))
-    odd = scratch.table(found.where("NOT kept OR n > 1").select(F.col("doc_id").alias("odd_id"), "k1", "k2", "kept"))
+    found = near_duplicates(docs, percent=percent, keys=True).where("doc_id IS NOT NULL")
+    found = scratch.table(found.groupBy("doc_id", "k1", "k2").agg(F.count("*").alias("n"), F.max("kept").alias("kept"), F.max(F.col("n_shingles") == 0).alias("empty")))
+    per_id = found.groupBy("doc_id").agg(F.sum("n").alias("rows"), F.min("kept").alias("kept"))
+    # Single rows that go, and ids of several rows, which are told apart by their sets
+    odd = scratch.table(per_id.where("rows > 1 OR NOT kept").select(F.col("doc_id").alias("odd_id"), "rows"))
     marked = docs.withColumn("maybe", Bloom(odd, "odd_id").column("doc_id"))
-
-    @F.pandas_udf("k1 long, k2 long")
-    def keys_of(texts: pd.Series) -> pd.DataFrame:
-        strings = pa.array(texts, pa.string())
-        found = [np.stack(set_keys(*distinct_shingles(strings.slice(a, b - a)))) for a, b in pieces(strings)]
-        k1, k2 = np.concatenate(found, axis=1).view(np.int64) if found else np.zeros((2, 0), np.int64)
-        return pd.DataFrame({"k1": k1, "k2": k2})
-
-    rest = marked.where("maybe").withColumn("keys", keys_of("text"))
-    same = (F.col("doc_id") == F.col("odd_id")) & (F.col("keys.k1") == F.col("k1")) & (F.col("keys.k2") == F.col("k2"))
-    out = marked.where("NOT maybe").select(*docs.columns).unionByName(rest.join(odd.hint("merge"), same, "left_anti").select(*docs.columns))
-    again = odd.where("kept")
-    if not again.isEmpty():
-        rows = rest.join(again.select("odd_id", "k1", "k2").hint("merge"), same).select("odd_id", "k1", "k2", F.struct(*docs.columns).alias("row"))
-        one = rows.groupBy("odd_id", "k1", "k2").agg(F.min_by("row", F.xxhash64(F.to_json("row"))).alias("row"))
-        out = out.unionByName(one.select("row.*"))
+    rest = marked.where("maybe").drop("maybe")
+    out = marked.where("NOT maybe").drop("maybe").unionByName(rest.join(odd.hint("merge"), F.col("doc_id") == F.col("odd_id"), "left_anti"))
+    several = odd.where("rows > 1")
+    if not several.isEmpty():
+
+        @F.pandas_udf("k1 long, k2 long")
+        def keys_of(texts: pd.Series) -> pd.DataFrame:
+            strings = pa.array(texts, pa.string())
+            made = [np.stack(set_keys(*distinct_shingles(strings.slice(a, b - a)))) for a, b in pieces(strings)]
+            k1, k2 = np.concatenate(made, axis=1).view(np.int64) if made else np.zeros((2, 0), np.int64)
+            return pd.DataFrame({"k1": k1, "k2": k2})
+
+        mine = rest.join(several.hint("merge"), F.col("doc_id") == F.col("odd_id"), "left_semi").withColumn("keys", keys_of("text"))
+        stays = found.where("kept").select(F.col("doc_id").alias("odd_id"), "k1", "k2", "empty").hint("merge")
+        same = (F.col("doc_id") == F.col("odd_id")) & (F.col("keys.k1") == F.col("k1")) & (F.col("keys.k2") == F.col("k2"))
+        mine = mine.join(stays, same).select("odd_id", "k1", "k2", "empty", F.struct(*docs.columns).alias("row"))
+        one = mine.where("NOT empty").groupBy("odd_id", "k1", "k2").agg(F.min_by("row", F.xxhash64(F.to_json("row"))).alias("row"))
+        out = out.unionByName(mine.where("empty").select("row.*")).unionByName(one.select("row.*"))
     return out.toDF(*names)
 
 
