@@ -38,6 +38,8 @@ _IS_LEET[[ord(c) for c in "0123456789@$|+"]] = True
 _IS_INNER = np.zeros(256, bool)
 _IS_INNER[[ord(c) for c in "!.-_*"]] = True
 _TABLE_BITS = 20
+#: Restored tokens and trigram costs that a worker keeps; when there are more it starts anew.
+MEMORY = 50_000
 
 
 def lowered(data: np.ndarray) -> np.ndarray:
@@ -74,6 +76,8 @@ class CharModel:
             p = (self.one.get(c, 0) + 0.5) / (self.all + 128)
             p = (self.pair.get(b << 8 | c, 0) + 5 * p) / (self.mid.get(b, 0) + 5)
             p = (self.three.get(k, 0) + 5 * p) / (self.two.get(a << 8 | b, 0) + 5)
+            if len(self.seen) > MEMORY:
+                self.seen.clear()
             found = self.seen[k] = math.log(p)
         return found
 
@@ -173,7 +177,7 @@ class Restorer:
             if out == core:
                 out = None
         if len(raw) <= 64:
-            if len(self.known) > 200_000:
+            if len(self.known) > MEMORY:
                 self.known.clear()
             self.known[raw] = out
         return out
@@ -365,7 +369,7 @@ def train(docs: DataFrame, labels: DataFrame, max_training_rows: int = 40_000, m
                 at = np.flatnonzero(np.append(True, k[1:] != k[:-1])) if len(k) else np.zeros(0, np.int64)
                 held.append((k[at], np.diff(np.append(at, len(k)))))
                 size += len(at)
-                if size > 2_000_000:
+                if size > 500_000:
                     held = [together(held)]
                     size = len(held[0][0])
         if held:
