@@ -545,8 +545,8 @@ def rag_end_to_end(spark, sf):
     engine = Engine(spark)
     engine.load_documents(table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("source"), "text"))
     engine.chunk_documents()
-    nodes, edges = star(spark, sf, small=True)
-    engine.use_graph(nodes, edges)
+    engine.nodes, engine.edges = star(spark, sf)
+    engine.communities = table(spark, sf, "nation").select(F.col("n_regionkey").alias("community_id"), F.concat(F.lit("N_"), "n_nationkey").alias("name"))
     questions = table(spark, sf, "benchmark").select(F.col("item_id").alias("query_id"), F.col("text").alias("question"))
     return engine.answer(questions)
 
