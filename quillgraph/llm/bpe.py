@@ -161,8 +161,8 @@ def encode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: s
     vocabulary: path of a tokenizers JSON file that all machines can read; it is a parameter and never copied.
     Returns doc_id, n_tokens, ids_sha256, decoded_sha256 (and ids). No shuffle: each partition is encoded
     on its own, in blocks of about 1 MB of text. Defined results: a null or empty text has no tokens and
-    the digests of nothing; strings of special tokens become their ids; rows that repeat are each encoded;
-    other columns are ignored; an empty table gives no rows.
+    the digests of nothing; a very long text is encoded whole, in a block of its own; strings of special tokens become their ids;
+    rows that repeat are each encoded; of tokens that could end a prefix just one is allowed, so there are no ties; other columns are ignored; an empty table gives no rows.
     """
     ship(docs.sparkSession)
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * ids

@@ -32,8 +32,8 @@ def rotate(
     very many turns is a skewed key of a join that Spark may split. Defined results: a null role speaks as "unknown"; a
     null text is empty; markers inside texts and names are broken up, so that no text can forge a turn; line ends in
     names become spaces; a conversation of system turns only has no participant and no rows; rows without conv_id are
-    one conversation; repeated rows are rendered as often; turns may be null and keep their value; other columns are
-    ignored; an empty table gives no rows.
+    one conversation; repeated rows and turns that tie are rendered as often as they stand; very long texts are rendered whole; turns may
+    be null and keep their value; other columns are ignored; an empty table gives no rows.
     """
 
     def safe(column):

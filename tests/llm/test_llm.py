@@ -1109,3 +1109,35 @@ def test_pipeline_links_near_copies_at_80_percent(spark):
     df = spark.createDataFrame([(i, " ".join(t), "", "a", 1) for i, t in enumerate(texts, 1)], DOC)
     assert all(r.kept for r in near_duplicates(df).collect())
     assert sorted(r.doc_id for r in p.drop_near_duplicates(spark, df, "").collect()) == [1, 3, 4]
+
+
+# ------------------------------------------------------------------ clashing names, repeats and very long values
+
+
+def test_bpe_ignores_other_columns_of_its_own_names(spark):
+    from quillgraph.llm.bpe import encode, production_vocabulary
+
+    df = odd_rows(spark)
+    want = sorted(map(str, encode(df, production_vocabulary()).collect()))
+    for c in ("n_tokens", "ids_sha256", "decoded_sha256", "ids"):
+        df = df.withColumn(c, F.lit("clash"))
+    assert sorted(map(str, encode(df, production_vocabulary()).collect())) == want and len(want) == df.count()
+
+
+def test_chat_of_very_long_texts_and_ties(spark):
+    from quillgraph.llm.chat import rotate
+
+    long = "word " * 200_000
+    rows = [(1, 1, "user", long), (1, 1, "user", "tie"), (1, 1, "user", "tie"), (1, 2, "assistant", None)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("speaker", F.lit("clash")).withColumn("perspective", F.lit("clash"))
+    got = rotate(df).collect()
+    assert len(got) == 8 and sum(long in r.rendered for r in got) == 2 and sum("tie" in r.rendered for r in got) == 4
+
+
+def test_urls_that_repeat_or_are_very_long(spark):
+    from quillgraph.llm.urls import judge
+
+    rows = [(i, u) for i, u in enumerate(["http://a.com/fr/1", "http://b.com/de/2", "http://c.net/x"])] * 2 + [(9, "http://c.net/" + "y/" * 100_000), (None, None)]
+    got = judge(spark.createDataFrame(rows, "page_id long, url string").withColumn("verdict", F.lit("clash"))).collect()
+    assert len(got) == len(rows) and all(n in (1, 2) for n in Counter((r.page_id, r.verdict) for r in got).values())
+    assert {r.page_id: len(r.path) for r in got}[9] == 200_001
