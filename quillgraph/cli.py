@@ -1,4 +1,4 @@
-"""Command line: preprocess, dataset, rag-build, rag-query, batch."""
+"""Command line: preprocess, dataset, compare, rag-build, rag-query, batch."""
 
 from __future__ import annotations
 
@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from quillgraph import settings, sources
 from quillgraph.engine import Engine
-from quillgraph.operators import files, preprocess
+from quillgraph.operators import files, noise, preprocess, quality
 
 
 def parser() -> argparse.ArgumentParser:
@@ -22,8 +22,14 @@ def parser() -> argparse.ArgumentParser:
         c.add_argument("--output", required=True)
         c.add_argument("--files", help="ranges such as 1-5,8")
         c.add_argument("--dry-run", action="store_true")
+        if name == "dataset":
+            c.add_argument("--per-file", help="folder for the questions of each file")
+    c = sub.add_parser("compare")
+    c.add_argument("--original", required=True)
+    c.add_argument("--compressed", required=True)
+    c.add_argument("--output", required=True)
     c = sub.add_parser("rag-build")
-    c.add_argument("--input", required=True)
+    c.add_argument("--input", help="folder of documents; without it two demo texts")
     c.add_argument("--state", required=True)
     c.add_argument("--gexf")
     c = sub.add_parser("rag-query")
@@ -36,7 +42,7 @@ def parser() -> argparse.ArgumentParser:
     c.add_argument("--output", required=True)
     c.add_argument("--offset", type=int, default=0)
     c.add_argument("--limit", type=int)
-    c.add_argument("--cot", action="store_true")
+    c.add_argument("--cot", action="store_true", default=None)
     return p
 
 
@@ -48,18 +54,31 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
         docs = sources.read_markdown(spark, args.input).select(F.col("id").alias("file"), "text")
         if args.files:
             docs = files.select_range(docs, args.files).drop("place")
-        if args.command == "dataset":
-            out = preprocess.questions_dry_run(docs, config.preprocessing.dataset_questions_per_chunk) if args.dry_run else preprocess.generate_questions(docs)
+        k = config.preprocessing
+        if args.dry_run:
+            out = preprocess.questions_dry_run(docs, k.dataset_questions_per_chunk, k.compress_max_chunk_tokens) if args.command == "dataset" else noise.dry_run(docs)
+            out.write.mode("overwrite").json(args.output)
+        elif args.command == "dataset":
+            questions, _, summary = preprocess.questions_batch(docs, max_tokens=k.compress_max_chunk_tokens)
+            sources.write_questions(questions, args.output, args.per_file)
+            print(summary.first().asDict())
         else:
-            from quillgraph.operators import noise
-
-            k = config.preprocessing
-            out = noise.dry_run(docs) if args.dry_run else preprocess.run_all(docs, stages=("quality", "compress"), min_chars=k.min_chars, min_quality_score=k.min_quality_score, min_chinese_ratio=k.min_chinese_ratio)["compress"]
-        out.write.mode("overwrite").json(args.output)
+            scored = quality.filter_reasons(quality.score(quality.metrics(docs)), min_chars=k.min_chars, min_quality_score=k.min_quality_score, min_chinese_ratio=k.min_chinese_ratio)
+            passed = docs if k.quality_mode == "stats" else quality.split(scored)[0].select("file", "text")
+            done = sources.read_progress(spark, f"{args.output}/state", preprocess.PROGRESS)
+            states, summary = preprocess.compress_batch(passed, done, max_tokens=k.compress_max_chunk_tokens)
+            sources.write_markdown(states.where("status = 'completed'"), f"{args.output}/texts", "file", "output")
+            states.drop("output").write.mode("append").json(f"{args.output}/state")
+            print(summary.first().asDict())
+        return
+    if args.command == "compare":
+        sides = [sources.read_markdown(spark, p) for p in (args.original, args.compressed)]
+        compared = noise.compare(*sides, key="id")
+        sources.write_compare_report(compared, noise.compare_summary(compared), noise.missing(*sides, key="id"), args.output)
         return
     engine = Engine(spark, config)
     if args.command == "rag-build":
-        engine.load_documents(sources.read_directory(spark, args.input))
+        engine.load_documents(sources.read_directory(spark, args.input) if args.input else sources.demo_documents(spark))
         engine.chunk_documents()
         engine.build_graph()
         engine.save(args.state)

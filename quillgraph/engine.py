@@ -23,6 +23,9 @@ class Engine:
         vectors.strategy(self.settings.similarity.strategy)
         self.embedder = embedder or models.embedder(self.settings.embedding.provider)
         self.reranker = reranker or (models.reranker(self.settings.rerank.provider) if self.settings.rerank.provider else None)
+        g = self.settings.graph
+        if extractor is None and llm is not None and g.model_extraction:
+            extractor = graph_build.model_extractor(llm, g.max_entities_per_chunk, g.max_relations_per_chunk)
         self.llm, self.extractor = llm, extractor
         self.documents = spark.createDataFrame([], "source string, text string")
         self.chunks = self.nodes = self.edges = self.communities = None
@@ -207,9 +210,10 @@ class Engine:
         sizes = [F.size(k).alias(f"n_{k}") for k in kinds]
         return rows.select("query_id", "question", "n_chunks", *sizes, "answer")
 
-    def run_batch(self, dataset: DataFrame, save: Callable[[DataFrame], None], prior: DataFrame | None = None, offset: int = 0, limit: int | None = None, use_cot: bool = False) -> dict:
+    def run_batch(self, dataset: DataFrame, save: Callable[[DataFrame], None], prior: DataFrame | None = None, offset: int = 0, limit: int | None = None, use_cot: bool | None = None) -> dict:
         """batch_query in steps of settings.batch.save_interval rows: after each step save() gets its answers, and after
         max_consecutive_failures failed rows in a row (over steps as well) no further step is taken. Returns totals."""
+        use_cot = self.settings.batch.use_cot if use_cot is None else use_cot
         b, n = self.settings.batch, dataset.agg(F.max("row_idx")).first()[0]
         stop = (n + 1 if n is not None else 0) if limit is None else min(offset + limit, (n if n is not None else -1) + 1)
         done = {"rows": 0, "answered": 0, "failed": 0, "stopped": False}

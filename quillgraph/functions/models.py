@@ -48,9 +48,41 @@ class OverlapReranker:
         return [len(q & set(re.findall(r"\w+", t.lower()))) / max(1, len(q)) for t in texts]
 
 
+class _Loaded:
+    """A model that each worker process loads when it is first called; what is sent to workers is only how to load it."""
+
+    def __init__(self, load: Callable[[], Callable]):
+        self.load, self._model = load, None
+
+    def __getstate__(self) -> dict:
+        return {"load": self.load, "_model": None}
+
+    @property
+    def model(self) -> Callable:
+        if self._model is None:
+            self._model = self.load()
+        return self._model
+
+
+class LocalEmbedder(_Loaded):
+    """An embedding model on the worker: load() gives a function from texts to vectors."""
+
+    def embed(self, texts: list[str]) -> np.ndarray:
+        return np.asarray(self.model(texts), np.float32) if texts else np.zeros((0, 1), np.float32)
+
+
+class PairReranker(_Loaded):
+    """A cross-encoder on the worker: load() gives a function from (query, text) pairs to scores."""
+
+    def scores(self, query: str, texts: list[str]) -> list[float]:
+        return [float(s) for s in self.model([(query, t) for t in texts])] if texts else []
+
+
 def embedder(provider: str, call: Callable | None = None) -> Embedder:
     if provider == "hash":
         return HashEmbedder()
+    if provider == "local" and call:
+        return LocalEmbedder(call)
     if provider == "client" and call:
         return ClientEmbedder(call)
     raise ValueError(f"unknown embedding provider: {provider}")
@@ -59,6 +91,8 @@ def embedder(provider: str, call: Callable | None = None) -> Embedder:
 def reranker(provider: str, scores: Callable[[str, list[str]], list[float]] | None = None) -> Reranker:
     if provider == "overlap":
         return OverlapReranker()
+    if provider == "cross-encoder" and scores:
+        return PairReranker(scores)
     if provider == "client" and scores:
         return type("ClientReranker", (), {"scores": staticmethod(scores)})()
     raise ValueError(f"unknown rerank provider: {provider}")
@@ -97,14 +131,15 @@ def rerank_all(query: str, texts: list[str], call: Callable[[str, list[str]], li
 
 
 def with_retries(call: Callable[[str], str], tries: int = 3, wait: Callable[[float], None] = time.sleep, fatal: tuple[int, ...] = (401, 402)) -> Callable[[str], str]:
-    """Tries a call up to so many times with doubling waits; errors with a fatal status are raised at once."""
+    """Tries a call up to so many times with doubling waits; errors with a fatal status, or
+    that say of themselves that they are fatal, are raised at once."""
 
     def run(prompt: str) -> str:
         for k in range(tries):
             try:
                 return call(prompt)
             except Exception as e:  # noqa: BLE001
-                if getattr(e, "status", None) in fatal or k == tries - 1:
+                if getattr(e, "fatal", False) or getattr(e, "status", None) in fatal or k == tries - 1:
                     raise
                 wait(2.0**k)
         raise AssertionError

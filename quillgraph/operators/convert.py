@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quillgraph.operators import files
+
 SKIPPED = frozenset({"script", "style", "head", "noscript", "template"})
 FURNITURE = frozenset({"nav", "footer", "header", "aside"})
 HEADINGS = {f"h{i}": "#" * i + " " for i in range(1, 7)}
@@ -78,5 +80,38 @@ def to_markdown(pages: DataFrame, key: str = "page_id", content: str = "html", c
         for pdf in batches:
             yield pd.DataFrame({key: pdf[key], "markdown": [converter(x) for x in pdf[content]]})
 
-    out = pages.select(key, content).mapInPandas(run, f"{key} long, markdown string")
+    out = pages.select(key, content).mapInPandas(run, f"{key} {pages.schema[key].dataType.simpleString()}, markdown string")
     return out.withColumn("n_headings", F.regexp_count("markdown", F.lit("(?m)^#{1,6} ")))
+
+
+def in_turn(*converters: Callable[[str | None], str]) -> Callable[[str | None], str | None]:
+    """A converter that tries each one given until one succeeds (such as a fast one that may run out of memory, then a
+    thrifty one); null if all fail."""
+
+    def convert(content: str | None) -> str | None:
+        for c in converters:
+            try:
+                return c(content)
+            except Exception:  # noqa: BLE001  the next one takes its place
+                continue
+        return None
+
+    return convert
+
+
+def to_pages(pieces: DataFrame, key: str, order: str, content: str, converter: Callable[[str | None], list[str]]) -> DataFrame:
+    """key, order, page, name, text: pieces of documents converted page by page, pages numbered over all pieces of a document."""
+
+    @F.pandas_udf("array<string>")
+    def pages(contents: pd.Series) -> pd.Series:
+        return pd.Series([list(converter(x)) for x in contents], dtype=object)
+
+    return files.global_pages(pieces.select(key, order, pages(content).alias("pages")), key, order, "pages", key)
+
+
+def reconvert(outputs: DataFrame, sources: DataFrame, key: str = "page_id", text: str = "markdown", content: str = "html", converter: Callable[[str | None], str] = html_to_markdown) -> DataFrame:
+    """key, text, redone: outputs with an issue are converted again, once however many issues they have. Those without a source,
+    and those that fail again, stay as they are."""
+    bad = files.validate(outputs.select(key, text), text).select(key).distinct()
+    again = to_markdown(sources.join(bad, key, "left_semi"), key, content, in_turn(converter)).groupBy(key).agg(F.max("markdown").alias("_new"))
+    return outputs.join(again, key, "left").select(key, F.coalesce("_new", text).alias(text), F.col("_new").isNotNull().alias("redone"))

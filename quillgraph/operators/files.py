@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillgraph.functions.rows import numbered
@@ -54,6 +54,18 @@ def join_pages(pages: DataFrame, key: str, order: str, text: str) -> DataFrame:
     return pages.groupBy(key).agg(F.count("*").alias("n_pages"), strip(F.array_join(F.transform(together, lambda x: x["t"]), PAGE_BREAK)).alias("text"))
 
 
+def global_pages(pieces: DataFrame, key: str, order: str, pages: str, stem: str) -> DataFrame:
+    """A row for each page of the pieces (an array of page texts) that a document was split into: its number, counted on over all
+    pieces, and a name like doc_p007. The numbers come from the pieces' sizes alone, so that texts don't meet in one task;
+    (key, order) names a piece."""
+    size = F.coalesce(F.size(F.coalesce(F.col(pages), F.array().cast("array<string>"))), F.lit(0))
+    before = Window.partitionBy(key).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    starts = pieces.select(key, order, size.alias("_n")).withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
+    rows = pieces.join(starts, [key, order]).select(key, order, "_before", F.col(stem).cast("string").alias("_stem"), F.posexplode(pages).alias("_at", "text"))
+    rows = rows.withColumn("page", F.col("_before") + F.col("_at") + 1)
+    return rows.select(key, order, "page", F.format_string("%s_p%03d", "_stem", "page").alias("name"), "text")
+
+
 def validate(outputs: DataFrame, text: str = "text") -> DataFrame:
     """A row per issue: empty and too small outputs are errors and nothing else is said of them."""
     n = F.octet_length(F.coalesce(F.col(text), F.lit("")))

@@ -74,12 +74,15 @@ def scores(queries: DataFrame, chunks: DataFrame, query_id: str, chunk_id: str,
         part = (asked if last is None else asked.where(F.col("q") > last)).limit(MAX_QUERIES).collect()
         if not part:
             break
+        if len(part) == MAX_QUERIES:  # queries that share the last id stay in one round
+            end = part[-1].q
+            part = [r for r in part if r.q != end] + asked.where(F.col("q") == end).collect()
         ids, q = np.array([r.q for r in part]), np.array([r.v for r in part])
         found = rows.mapInArrow(lambda b, ids=ids, q=q: _blocks(b, ids, q, name == "cosine", k), "query_id long, id long, score double")
         out = found if out is None else out.unionByName(found)
-        last = int(ids[-1])
         if len(part) < MAX_QUERIES:
             break
+        last = int(ids[-1])
     return out if out is not None else spark.createDataFrame([], "query_id long, id long, score double")
 
 

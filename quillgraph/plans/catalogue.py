@@ -251,6 +251,19 @@ def page_ranges(spark, sf):
     return files.page_ranges(table(spark, sf, "documents").select("doc_id", "n_chars"), "n_chars", 50, "doc_id").drop("n_chars")
 
 
+@query("global_pages", "WITH p AS (SELECT conv_id, turn, string_split(coalesce(text, ''), '. ') AS pages FROM conversations), o AS (SELECT *, coalesce(sum(len(pages)) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS b FROM p) SELECT conv_id, turn, b + i AS page, format('{}_p{:03d}', conv_id, b + i) AS name, pages[i] AS text FROM (SELECT *, unnest(range(1, len(pages) + 1)) AS i FROM o)")
+def global_pages(spark, sf):
+    # Turns stand for the pieces that a conversation was split into, their sentences for pages
+    return convert.to_pages(table(spark, sf, "conversations"), "conv_id", "turn", "text", lambda t: (t or "").split(". "))
+
+
+@query("reconvert_bad", "WITH o AS (SELECT page_id, url, html, octet_length(encode(coalesce(html, ''))) AS n FROM pages), b AS (SELECT *, n < 5120 OR contains(html, 'Image not available') AS bad, url LIKE 'https%' AS found FROM o) SELECT page_id, CASE WHEN bad AND found THEN 'again: ' || coalesce(html, '') ELSE html END AS markdown, coalesce(bad AND found, false) AS redone FROM b")
+def reconvert_bad(spark, sf):
+    pages = table(spark, sf, "pages")
+    outputs = pages.select("page_id", F.col("html").alias("markdown"))
+    return convert.reconvert(outputs, pages.where("url LIKE 'https%'"), converter=lambda h: "again: " + (h or ""))
+
+
 @query("join_pages", rf"SELECT conv_id, count(*) AS n_pages, regexp_replace(string_agg(coalesce(text, ''), chr(10) || chr(10) || '--- pagebreak ---' || chr(10) || chr(10) ORDER BY turn), '^[{_SP}]+|[{_SP}]+$', '', 'g') AS text FROM conversations GROUP BY conv_id")
 def join_pages(spark, sf):
     return files.join_pages(table(spark, sf, "conversations"), "conv_id", "turn", "text")
@@ -397,6 +410,23 @@ def processed_chunks(spark, sf):
     return graph_build.processed_chunks(graph_build.merge_nodes(_entities(spark, sf)))
 
 
+def _two_builds(spark, sf):
+    """Nodes and edges of a build over the nations' chunks that a second build over the suppliers' chunks is added to."""
+    parts = [(e.where(c), r.where(c)) for e, r in [(_entities(spark, sf), _relations(spark, sf))] for c in ("chunk_seq < 1000", "chunk_seq >= 1000")]
+    nodes = graph_build.upsert(*[graph_build.merge_nodes(e, r) for e, r in parts], ("name",))
+    return nodes, graph_build.upsert(*[graph_build.merge_edges(r) for _, r in parts], ("source", "target"))
+
+
+@query("resumed_nodes", f"WITH {_CHUNKS} SELECT * FROM nd")
+def resumed_nodes(spark, sf):
+    return _two_builds(spark, sf)[0].withColumn("chunk_refs", F.array_join("chunk_refs", ","))
+
+
+@query("resumed_edges", f"WITH {_CHUNKS} SELECT * FROM ed")
+def resumed_edges(spark, sf):
+    return _two_builds(spark, sf)[1].select("source", "target", "relation", F.array_join("chunk_refs", ",").alias("chunk_refs"))
+
+
 _STAR_SMALL = "e AS (SELECT 'N_' || n_nationkey AS source, 'R_' || n_regionkey AS target, 'in_region' AS relation FROM nation UNION ALL SELECT 'S_' || s_suppkey, 'N_' || s_nationkey, 'located_in' FROM supplier)"
 _STAR = "e AS (SELECT 'N_' || n_nationkey AS source, 'R_' || n_regionkey AS target, 'in_region' AS relation FROM nation UNION ALL SELECT 'S_' || s_suppkey, 'N_' || s_nationkey, 'located_in' FROM supplier UNION ALL SELECT 'C_' || c_custkey, 'N_' || c_nationkey, 'located_in' FROM customer UNION ALL SELECT DISTINCT 'S_' || l_suppkey, 'P_' || l_partkey, 'supplies' FROM lineitem)"
 _LINKS = "l AS (SELECT source AS a, target AS b FROM e UNION SELECT target, source FROM e)"
@@ -560,6 +590,32 @@ def compress_run(spark, sf):
     return preprocess.compress(table(spark, sf, "documents"), key="doc_id").drop("compression_ratio", "error")
 
 
-@query("generate_questions")
+@query("compress_batch", rf"""WITH d AS (SELECT lang, coalesce(text, '') AS text, {_tokens("coalesce(text, '')")} AS n, regexp_replace(regexp_replace(coalesce(text, ''), '[\x09-\x0d\x20]+', ' ', 'g'), '^ | $', '', 'g') AS out, length(regexp_replace(coalesce(text, ''), '^[{_SP}]+|[{_SP}]+$', '', 'g')) >= 50 AND lang IS DISTINCT FROM 'en' AND lang IS DISTINCT FROM 'de' AS new FROM documents),
+a AS (SELECT count(*) AS total_files, count(*) FILTER (WHERE new) AS completed, count(*) FILTER (WHERE lang = 'en') AS resumed, 0::BIGINT AS failed, coalesce(sum(n) FILTER (WHERE new), 0)::BIGINT AS input_tokens, coalesce(sum({_tokens("out")}) FILTER (WHERE new), 0)::BIGINT AS output_tokens FROM d)
+SELECT *, CASE WHEN input_tokens > 0 THEN output_tokens / input_tokens::DOUBLE ELSE 0 END AS compression_ratio, round(input_tokens / 1e6::DOUBLE * 1.0::DOUBLE + output_tokens / 1e6::DOUBLE * 2.0::DOUBLE, 4) AS cost_yuan FROM a""")
+def compress_batch(spark, sf):
+    # English documents are done by their state; German ones have an output of over 100 bytes
+    docs = table(spark, sf, "documents")
+    done = docs.where("lang = 'en'").select(F.col("doc_id").cast("string").alias("file"), F.lit("completed").alias("status"))
+    there = docs.where("lang = 'de'").select("doc_id", F.lpad(F.coalesce("text", F.lit("")), 200, "-").alias("text"))
+    return preprocess.compress_batch(docs, done, there, key="doc_id")[1]
+
+
+_ASKED = rf"""
+d AS (SELECT doc_id, lang, coalesce(text, '') AS text FROM documents WHERE length(regexp_replace(coalesce(text, ''), '^[{_SP}]+|[{_SP}]+$', '', 'g')) >= 100),
+l AS (SELECT doc_id, lang, generate_subscripts(a, 1) AS i, unnest(a) AS line FROM (SELECT doc_id, lang, string_split_regex(text, '{T.LINE_BREAK}') AS a FROM d)),
+w AS (SELECT doc_id, lang, i, 'What about ' || array_to_string(string_split_regex(regexp_replace(line, '^[{_SP}]+|[{_SP}]+$', '', 'g'), '[{_SP}]+')[:8], ' ') || '?' AS question FROM l WHERE regexp_matches(line, '[^{_SP}]')),
+u AS (SELECT doc_id, lang, question, min(i) AS i FROM w GROUP BY ALL)
+"""
+
+
+@query("generate_questions", f"WITH {_ASKED} SELECT doc_id::VARCHAR AS source, (row_number() OVER (PARTITION BY doc_id ORDER BY i) - 1)::INT AS pos, question FROM u")
 def generate_questions(spark, sf):
     return preprocess.generate_questions(table(spark, sf, "documents"), key="doc_id")
+
+
+@query("questions_batch", f"WITH {_ASKED} SELECT (SELECT count(*) FROM documents) AS total_files, (SELECT count(*) FROM d WHERE lang IS DISTINCT FROM 'en') AS completed, (SELECT count(*) FROM documents WHERE lang = 'en') AS resumed, 0::BIGINT AS failed, (SELECT count(*) FROM u WHERE lang IS DISTINCT FROM 'en') AS total_questions, (SELECT coalesce(sum({_tokens('text')}), 0)::BIGINT FROM d WHERE lang IS DISTINCT FROM 'en') AS input_tokens")
+def questions_batch(spark, sf):
+    docs = table(spark, sf, "documents")
+    done = docs.where("lang = 'en'").select(F.col("doc_id").cast("string").alias("file"), F.lit("completed").alias("status"))
+    return preprocess.questions_batch(docs, done, key="doc_id")[2]

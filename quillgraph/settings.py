@@ -30,6 +30,7 @@ class Embedding:
 @dataclass
 class Graph:
     community_resolution: float = 1.0
+    model_extraction: bool = True
     max_entities_per_chunk: int | None = None
     max_relations_per_chunk: int | None = None
 
@@ -108,20 +109,28 @@ def _fill(target, values: dict):
 
 
 def parse_yaml(text: str) -> dict:
-    """Nested mappings of scalars by indentation: the part of YAML that settings need, for machines without a YAML library."""
+    """Nested mappings of scalars and lists of scalars: the part of YAML that settings need, for machines without a YAML library."""
     root: dict = {}
     stack: list[tuple[int, dict]] = [(-1, root)]
+    lists: dict[int, tuple[dict, str]] = {}  # where the mapping below a key goes, should it be a list
     for raw in text.splitlines():
         line = raw.split(" #")[0].rstrip()
-        if not line.strip() or line.lstrip().startswith("#") or ":" not in line:
+        indent, item = len(line) - len(line.lstrip()), line.strip()
+        if item.startswith("- ") and len(stack) > 1:
+            while stack[-1][0] > indent:
+                stack.pop()
+            owner, name = lists[id(stack[-1][1])]
+            owner[name] = [*(owner[name] or []), _scalar(item[2:].strip())]
+            continue
+        if not item or item.startswith("#") or ":" not in line:
             continue
-        indent = len(line) - len(line.lstrip())
         key, _, value = line.strip().partition(":")
         while stack[-1][0] >= indent:
             stack.pop()
         value = value.strip()
         if not value:
             stack[-1][1][key] = {}
+            lists[id(stack[-1][1][key])] = (stack[-1][1], key)
             stack.append((indent, stack[-1][1][key]))
         else:
             stack[-1][1][key] = _scalar(value)
@@ -129,6 +138,8 @@ def parse_yaml(text: str) -> dict:
 
 
 def _scalar(value: str):
+    if value.startswith("[") and value.endswith("]"):
+        return [_scalar(x.strip()) for x in value[1:-1].split(",") if x.strip()]
     plain = {"true": True, "false": False, "null": None, "~": None}
     if value.lower() in plain:
         return plain[value.lower()]

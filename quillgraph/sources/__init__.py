@@ -99,6 +99,57 @@ def write_markdown(docs: DataFrame, path: str, key: str = "id", text: str = "tex
     docs.select(key, text).foreachPartition(write)
 
 
+def write_exclusions(judged: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> None:
+    """Excluded documents, with their reason among the metadata."""
+    write_report(judged.where("filter_reason IS NOT NULL"), path, key, text)
+
+
+def write_filter_log(judged: DataFrame, path: str, key: str = "doc_id") -> None:
+    """The filter log of any corpus as text files in order: totals, what passed by falling score, what was excluded by name."""
+    ok = F.col("filter_reason").isNull()
+    line = F.when(ok, F.format_string("PASSED %.4f  %s", "quality_score", F.col(key).cast("string"))).otherwise(F.concat_ws("  ", F.concat(F.lit("EXCLUDED "), F.col(key).cast("string")), F.col("filter_reason")))
+    rows = judged.select(F.when(ok, 1).otherwise(2).alias("part"), F.when(ok, -F.col("quality_score")).alias("by"), F.col(key).cast("string").alias("name"), line.alias("value"))
+    total = judged.agg(F.format_string("TOTAL %d passed %d excluded %d", F.count("*"), F.count_if(ok), F.count_if(~ok)).alias("value"))
+    total = total.select(F.lit(0).alias("part"), F.lit(None).cast("double").alias("by"), F.lit("").alias("name"), "value")
+    rows.unionByName(total).orderBy("part", "by", "name").select("value").write.mode("overwrite").text(path)
+
+
+def write_questions(questions: DataFrame, path: str, per_file: str | None = None, key: str = "source", order: str = "pos") -> None:
+    """Questions of all files as JSON lines, in order of file and place; with per_file also a folder for each file."""
+    if per_file:
+        named = questions.withColumn("file", F.regexp_replace(key, r"[/\\]", "_"))
+        named.repartition("file").sortWithinPartitions("file", order).write.mode("overwrite").partitionBy("file").json(per_file)
+    questions.orderBy(key, order).write.mode("overwrite").json(path)
+
+
+def write_compare_report(compared: DataFrame, summary: DataFrame, missing: DataFrame, path: str) -> None:
+    """The report of a comparison as JSON lines: summary, files, and keys that one side lacks."""
+    for name, df in (("summary", summary), ("files", compared), ("missing", missing)):
+        df.write.mode("overwrite").json(f"{path}/{name}")
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def read_progress(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """States of earlier runs as JSON lines. Nothing is known where there is no file; lines that can't be read count as unknown."""
+    if not exists(spark, path):
+        return spark.createDataFrame([], schema)
+    first = schema.split()[0]
+    return spark.read.schema(schema).option("mode", "DROPMALFORMED").json(path).where(F.col(first).isNotNull())
+
+
+def demo_documents(spark: SparkSession) -> DataFrame:
+    """Two small texts with entity and relation marks, for trying the engine out."""
+    texts = {
+        "demo_vessel": "储罐是一种压力容器。(储罐 - 设备 - 存放液体的容器) 储罐由钢板焊接而成。(钢板 - 材料 - 制造储罐的板材) [储罐 -> 钢板: 使用]",
+        "demo_pump": "水泵为储罐供水。(水泵 - 设备 - 输送液体的机器) 水泵由电机驱动。(电机 - 设备 - 提供动力) [水泵 -> 储罐: 供水] [电机 -> 水泵: 驱动]",
+    }
+    return spark.createDataFrame(list(texts.items()), "source string, text string")
+
+
 def write_state(tables: dict[str, DataFrame], path: str) -> None:
     """The engine's state: a parquet table each. All are written beside the old state, which is replaced only when they are complete, so
     they may be read from it."""
