@@ -897,6 +897,40 @@ def test_lm_coder_against_plain_version():
     assert 0.9 < total <= 1 + 1e-6
 
 
+def test_lm_counts_of_a_task_are_put_together():
+    import pyarrow as pa
+
+    from quillgraph.llm.lm import Counted
+
+    rs, held, out, want = np.random.RandomState(16), Counted(2, rows=64), [], defaultdict(lambda: np.zeros(2, int))
+    for _ in range(40):
+        key = np.unique(rs.randint(0, 50, 30)).astype(np.uint64)
+        n = rs.randint(0, 5, (len(key), 2))
+        for k, row in zip(key.tolist(), n, strict=True):
+            want[k] += row
+        out += held.add(key, pa.array([b"w%d" % k for k in key], pa.binary()), n)
+    out += held.flush()
+    # 50 distinct words stay one row each over all pieces of the task, where each piece gave out rows of its own
+    rows = [r for x in out for r in x.to_pylist()]
+    assert len(rows) == 50 and list(held.flush()) == []
+    assert all(r["word"] == b"w%d" % r["h"] and [r["c0"], r["c1"]] == want[r["h"]].tolist() for r in rows)
+    # Many distinct words, or long ones, are given out on the way
+    held = Counted(2, rows=64, size=1000)
+    assert sum(x.num_rows for i in range(4) for x in held.add(np.arange(100 * i, 100 * i + 100).astype(np.uint64), pa.array([b"x"] * 100, pa.binary()), np.ones((100, 2), int))) >= 200
+    assert sum(x.num_rows for i in range(4) for x in held.add(np.array([7 + i], np.uint64), pa.array([b"y" * 5000], pa.binary()), np.ones((1, 2), int))) >= 1
+
+
+def test_lm_entries_of_contexts_are_packed_without_loss():
+    from quillgraph.llm import lm_context as c
+
+    rs = np.random.RandomState(17)
+    for n in (0, 1, 2, 5000):
+        keys = np.unique(np.append(rs.randint(0, 1 << 63, n).astype(np.uint64) * np.uint64(2), np.array([2**64 - 1, 0, 5], np.uint64)[: min(n, 3)]))
+        a, b = rs.randint(1, 200_000, len(keys)), rs.randint(1, 300, len(keys))
+        got = c.unpack_entries(c.pack_entries(keys, a, b))
+        assert all(np.array_equal(x, y) for x, y in zip(got, (keys, np.minimum(a, 60_000), b), strict=True))
+
+
 def test_lm_repeats_of_other_words():
     from quillgraph.llm.lm import first_of, repeats
 
