@@ -931,6 +931,62 @@ def test_lm_entries_of_contexts_are_packed_without_loss():
         assert all(np.array_equal(x, y) for x, y in zip(got, (keys, np.minimum(a, 60_000), b), strict=True))
 
 
+def test_lm_first_weights_come_from_all_decisions():
+    from quillgraph.llm import lm
+    from quillgraph.llm import lm_context as c
+
+    # Two predictors under known weights: the tally finds them, in any order and any parts of the decisions
+    rs = np.random.RandomState(18)
+    n = 60_000
+    speak = rs.choice([12, 14], n)  # the second predictor is silent, the first against or for (as is the third)
+    side = np.array([speak // 3**e % 3 - 1 for e in range(3)])
+    sure = rs.randint(0, 2, n) * 4
+    x = np.round(rs.uniform(-6, 2, n) * 4) / 4
+    gates = np.array([speak, *[c.gate_of_word(e, sure, speak) for e in range(3)]])
+    inputs = np.array([x, *side])
+    z = np.where(speak == 14, 0.6, 1.3) * x + (side != 0).sum(axis=0) * np.where(sure > 0, 1.5, -0.5)
+    bit = rs.uniform(size=n) < 1 / (1 + np.exp(-z))
+    found = []
+    for order in (np.arange(n), rs.permutation(n)):
+        tally = c.Tally(most=1000)
+        for part in np.array_split(order, 7):
+            tally.add(bit[part], speak[part], gates[:, part], inputs[:, part])
+        tally.join()
+        assert tally.n.sum() == n
+        found.append(c.learned(tally.keys, tally.n))
+    assert np.array_equal(found[0].w, found[1].w) and np.array_equal(found[0].apm, found[1].apm)
+    assert abs(found[0].w[14] - 0.6) < 0.05 and abs(found[0].w[12] - 1.3) < 0.1
+    assert np.allclose(c.learned(np.zeros(0, np.int64), np.zeros(0, np.int64)).w, 1)
+    # The mixer of spellings: a round over a 32nd of the decisions and one over all others find them, in one part or in ten
+    n, true, mixers = 400_000, rs.uniform(0.1, 0.6, (5, 1)), []
+    st, b = rs.normal(0, 1.5, (5, n)).astype(np.float32), rs.randint(0, 6, (5, n))
+    bit = (rs.uniform(size=n) < 1 / (1 + np.exp(-(true * st).sum(axis=0)))).astype(int)
+    for parts in (1, 10):
+        m = lm.Mixer(5)
+        for own in (np.arange(n // 32), np.arange(n // 32, n)):
+            told = np.zeros(m.size())
+            for i in np.array_split(own, parts):
+                m.tally(list(st[:, i]), list(b[:, i]), bit[i], np.ones(len(i)), told)
+            m.step(told)
+        mixers.append(m)
+    assert np.allclose(mixers[0].w, mixers[1].w, atol=1e-5)
+    assert np.abs(mixers[0].w.reshape(5, -1)[:4].mean(axis=1) - true[:4, 0]).max() < 0.05
+    assert np.isclose(mixers[0].told[1].sum(), n)
+
+
+def test_lm_learns_first_weights_from_more_texts_than_a_sample_holds(spark, monkeypatch):
+    from quillgraph.llm import lm_context as c
+    from quillgraph.llm.lm import held_out, score
+
+    # Every decision of every training text is tallied: 150,000 words, more than the first weights were drawn from
+    rs, told = np.random.RandomState(19), []
+    docs = spark.createDataFrame([(i, make_text(rs, 300, ["alpha", "beta", "gamma", "delta"]), "en", "a", 1) for i in range(620)], DOC)
+    monkeypatch.setattr(c, "learned", lambda keys, n, own=c.learned: told.append(int(n.sum())) or own(keys, n))
+    got = score(docs).where("NOT held_out").selectExpr("sum(n_tokens) AS n").first().n
+    assert docs.where(~held_out("doc_id")).count() * 300 < got and got > 140_000
+    assert told[0] > 0.9 * got  # a word of four has a decision at least where any context expects one
+
+
 def test_lm_repeats_of_other_words():
     from quillgraph.llm.lm import first_of, repeats
 
