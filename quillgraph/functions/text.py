@@ -55,6 +55,17 @@ def cost_yuan(tokens_in, tokens_out) -> Column:
     return _col(tokens_in) / 1e6 * PRICE_IN + _col(tokens_out) / 1e6 * PRICE_OUT
 
 
+def nearest(x, digits: int) -> Column:
+    """To so many digits as SQL does it: the nearest multiple of a power of ten, halves upward. F.round goes by the shortest decimal form
+    instead, in which 0.00015 is a half that its product with 10,000 is not."""
+    return F.round(_col(x) * float(10**digits)) / float(10**digits)
+
+
+def fixed(x, digits: int) -> Column:
+    """With so many digits as Python and SQL write it: by the exact binary value, halves to the even digit (F.format_string rounds halves up)."""
+    return F.call_function("format_number", _col(x), F.lit("0." + "0" * digits))
+
+
 def strip_fences(text) -> Column:
     """A model's reply without the code fence around it."""
     return strip(F.regexp_replace(F.regexp_replace(strip(text), r"^```[a-zA-Z]*\s*\n?", ""), r"\n?```\s*$", ""))

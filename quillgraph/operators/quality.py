@@ -77,14 +77,15 @@ def score(df: DataFrame) -> DataFrame:
 def filter_reasons(df: DataFrame, **limits) -> DataFrame:
     """Adds filter_reason (null if the document passes); thresholds are compared with the rounded values."""
     k = {**DEFAULTS, **limits}
-    chinese, special = F.round("chinese_ratio", 4), F.round("special_char_ratio", 6)
-    quality, repeated = F.round("quality_score", 4), F.round("repetition_line_ratio", 4)
+    chinese, special = T.nearest("chinese_ratio", 4), T.nearest("special_char_ratio", 6)
+    quality, repeated = T.nearest("quality_score", 4), T.nearest("repetition_line_ratio", 4)
+    says = lambda name, x, digits, sign, limit: F.concat(F.lit(f"{name}("), T.fixed(x, digits), F.lit(f"{sign}{k[limit]})"))
     found = F.array(
         F.when(F.col("char_count") < k["min_chars"], F.format_string(f"too_short(%d<{k['min_chars']})", "char_count")),
-        F.when(chinese < k["min_chinese_ratio"], F.format_string(f"low_chinese_ratio(%.2f<{k['min_chinese_ratio']})", chinese)),
-        F.when(special > k["max_special_char_ratio"], F.format_string(f"high_garbled(%.4f>{k['max_special_char_ratio']})", special)),
-        F.when(quality < k["min_quality_score"], F.format_string(f"low_quality(%.2f<{k['min_quality_score']})", quality)),
-        F.when(repeated > k["max_repetition_ratio"], F.format_string(f"high_repetition(%.2f>{k['max_repetition_ratio']})", repeated)),
+        F.when(chinese < k["min_chinese_ratio"], says("low_chinese_ratio", chinese, 2, "<", "min_chinese_ratio")),
+        F.when(special > k["max_special_char_ratio"], says("high_garbled", special, 4, ">", "max_special_char_ratio")),
+        F.when(quality < k["min_quality_score"], says("low_quality", quality, 2, "<", "min_quality_score")),
+        F.when(repeated > k["max_repetition_ratio"], says("high_repetition", repeated, 2, ">", "max_repetition_ratio")),
     )
     return df.withColumn("filter_reason", F.nullif(F.array_join(found, ";"), F.lit("")))
 

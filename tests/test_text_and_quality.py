@@ -70,6 +70,15 @@ def test_levels_filter_and_reconciliation(spark):
     assert quality.levels(df.limit(0)).count() == 4
 
 
+def test_reasons_write_halves_as_sql_does(spark):
+    docs = ["\n".join(["x" * 60] * 6 + ["y" * 60, "z" * 60]), "\n".join(["x" * 60] * 14 + ["y" * 60, "z" * 60])]  # 0.625 and 0.8125
+    got = quality.filter_reasons(quality.score(quality.metrics(frame(spark, docs)))).orderBy("doc_id").collect()
+    assert [r.filter_reason.split(";")[-1] for r in got] == ["high_repetition(0.62>0.5)", "high_repetition(0.81>0.5)"]
+    values = spark.createDataFrame([(x,) for x in (0.625, 0.615, 0.605, 0.375, 0.00015, 0.62505)], "x double")
+    assert [r.f for r in values.select(T.fixed("x", 2).alias("f")).collect()] == [f"{x:.2f}" for x in (0.625, 0.615, 0.605, 0.375, 0.00015, 0.62505)]
+    assert [r.n for r in values.select(T.nearest("x", 4).alias("n")).collect()] == [0.625, 0.615, 0.605, 0.375, 0.0001, 0.6251]
+
+
 def test_tokens_cost_and_lines(spark):
     df = frame(spark, ["压力ab", "", "abcd"])
     assert [r[0] for r in df.select(T.estimate_tokens("text")).collect()] == [3, 0, 1]
