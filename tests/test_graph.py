@@ -1,6 +1,8 @@
 """Graph build, retrieval and communities."""
 
 import itertools
+import random
+import time
 
 import pytest
 
@@ -99,3 +101,37 @@ def test_star_of_two_components(spark):
     star = [("hub", f"l{i}") for i in range(6)] + [("u", "v")]
     got = communities.detect(edges_of(spark, star), nodes_of(spark, []))
     assert {r.community_id for r in got.where("name IN ('u', 'v')").collect()} == {1}
+
+
+def plain_agglomeration(pairs, total, resolution):
+    near = {}
+    for a, b in pairs:
+        near.setdefault(a, {})[b] = near.setdefault(b, {})[a] = 1.0
+    degree, own = {n: float(len(x)) for n, x in near.items()}, {n: n for n in near}
+    while True:
+        found = [(resolution * degree[a] * degree[b] / (2.0 * total * total) - near[a][b] / total, a, b) for a in near for b in near[a] if a < b]
+        if not found or min(found)[0] >= -1e-15:
+            return own
+        _, a, b = min(found)
+        for c, w in near.pop(b).items():
+            del near[c][b]
+            if c != a:
+                near[a][c] = near[c][a] = near[a].get(c, 0.0) + w
+        degree[a] += degree.pop(b)
+        own = {n: a if r == b else r for n, r in own.items()}
+
+
+@pytest.mark.parametrize("seed", range(60))
+def test_agglomeration_takes_the_best_pair_each_time(seed):
+    pick = random.Random(seed)
+    names = [f"{pick.choice('ANS')}_{i}" for i in range(pick.randint(2, 30))]
+    pairs = {tuple(sorted((names[i], names[pick.randrange(min(i, pick.choice((1, 4, 30))))]))) for i in range(1, len(names)) for _ in range(pick.choice((1, 1, 3)))}
+    total, resolution = len(pairs) + pick.choice((0, 0, 40)), pick.choice((1.0, 1.0, 0.5, 2.0))
+    assert communities.agglomerate(list(pairs), total, resolution) == plain_agglomeration(pairs, total, resolution)
+
+
+def test_a_hub_of_many_leaves_takes_time_in_proportion():
+    star = [("hub", f"leaf{i}") for i in range(12_000)] + [("top", "hub")]
+    start = time.process_time()
+    assert set(communities.agglomerate(star, len(star)).values()) == {"hub"}
+    assert time.process_time() - start < 10  # with a heap entry for each other leaf at each merge there were 72 million
