@@ -5,6 +5,7 @@ import random
 import time
 
 import pytest
+from pyspark.sql import functions as F
 
 from quillgraph.operators import communities, graph_build, graph_query
 
@@ -83,6 +84,26 @@ def test_shortest_paths(spark):
     assert all_pairs == {(a, b): plain_distances(TRIANGLES, a)[b] for a, b in itertools.combinations("abcdef", 2)}
 
 
+def test_few_names_filter_the_edges_before_they_are_made_distinct(spark):
+    """What makes the edges isn't shuffled as a whole: the names' filter stands below the aggregation."""
+    rows = spark.range(1000).select((F.col("id") % 50).alias("s"), (F.col("id") % 70).alias("p"))
+    edges = rows.distinct().select(F.concat(F.lit("S_"), "s").alias("source"), F.concat(F.lit("P_"), "p").alias("target"), F.lit("r").alias("relation"))
+    plan = graph_query._links(edges, nodes_of(spark, ["S_1"]).select(F.col("name").alias("a")))._jdf.queryExecution().optimizedPlan().toString()
+    kinds = [k for line in plan.splitlines() for k in ("Aggregate", "LeftSemi") if k in line]
+    assert kinds == ["Aggregate", "LeftSemi"] * 2  # from the top down
+    got = {(r.a, r.b) for r in graph_query._links(edges, nodes_of(spark, ["S_1"]).select(F.col("name").alias("a"))).collect()}
+    assert got == {("S_1", f"P_{i % 70}") for i in range(1000) if i % 50 == 1}
+    many = graph_query.SENT_BYTES
+    try:
+        graph_query.SENT_BYTES = 0
+        far = {r.name: r.distance for r in graph_query.neighbours(edges, nodes_of(spark, ["S_1"]), 2).collect()}
+        inside = graph_query.induced_edges(edges, nodes_of(spark, ["S_1", "P_1", "P_31"])).count()
+    finally:
+        graph_query.SENT_BYTES = many
+    assert far == {r.name: r.distance for r in graph_query.neighbours(edges, nodes_of(spark, ["S_1"]), 2).collect()}
+    assert inside == graph_query.induced_edges(edges, nodes_of(spark, ["S_1", "P_1", "P_31"])).count()
+
+
 def test_communities(spark):
     found = communities.detect(edges_of(spark, [*TRIANGLES, ("b", "a"), ("s", "s")]), nodes_of(spark, [*"abcdef", "lonely", "s"]))
     groups = {}
