@@ -84,6 +84,30 @@ def test_shortest_paths(spark):
     assert all_pairs == {(a, b): plain_distances(TRIANGLES, a)[b] for a, b in itertools.combinations("abcdef", 2)}
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_shortest_paths_meet_half_way(spark, seed):
+    """The least of all shortest paths, for every pair, where several lead round."""
+    pick = random.Random(seed)
+    names = [f"n{i:02d}" for i in range(24)]
+    pairs = [tuple(pick.sample(names, 2)) for _ in range(30)]
+    near = {n: {b for p in pairs for a, b in (p, p[::-1]) if a == n} for n in names}
+    for most in (50, 3):
+        want = {}
+        for a in names[:6]:
+            paths = {a: [a]}
+            edge = [a]
+            for _ in range(most):
+                step = {}
+                for n in edge:
+                    for b in near[n] - set(paths):
+                        step[b] = min(step.get(b, ["~"]), paths[n] + [b])
+                paths |= step
+                edge = list(step)
+            want |= {(a, b): paths[b] for b in names[:6] if a < b and b in paths}
+        got = {(r.source, r.target): r.path for r in graph_query.shortest_paths(edges_of(spark, pairs), nodes_of(spark, names[:6]), most).collect()}
+        assert got == want
+
+
 def test_few_names_filter_the_edges_before_they_are_made_distinct(spark):
     """What makes the edges isn't shuffled as a whole: the names' filter stands below the aggregation."""
     rows = spark.range(1000).select((F.col("id") % 50).alias("s"), (F.col("id") % 70).alias("p"))
