@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from html.parser import HTMLParser
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from quillgraph.functions import batches
 from quillgraph.operators import files
 
 SKIPPED = frozenset({"script", "style", "head", "noscript", "template"})
@@ -73,14 +75,24 @@ def html_to_markdown(html: str | None, furniture: bool = False) -> str:
     return "\n\n".join(parser.lines)
 
 
-def to_markdown(pages: DataFrame, key: str = "page_id", content: str = "html", converter: Callable[[str | None], str] = html_to_markdown) -> DataFrame:
-    """key, markdown, n_headings of each page; the converter is called on Arrow batches."""
+def _converted(rows: DataFrame, content: str, name: str, kind: str, convert: Callable) -> DataFrame:
+    """rows with name instead of content: what convert makes of it, on Arrow batches and there on so many texts at a time that memory is bounded."""
+    kept = [c for c in rows.columns if c != content]
+    typed = {"string": pa.string(), "array<string>": pa.list_(pa.string())}[kind]
+
+    def run(arrived: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in batches.pieces(arrived, content):
+            made = pa.array([convert(x) for x in piece[content].to_numpy(zero_copy_only=False)], typed)
+            yield pa.RecordBatch.from_arrays([*(piece[c] for c in kept), made], [*kept, name])
+
+    batches.bounded(rows.sparkSession)
+    schema = T.StructType([*(rows.schema[c] for c in kept), T.StructField(name, T.StringType() if kind == "string" else T.ArrayType(T.StringType()))])
+    return rows.mapInArrow(run, schema)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            yield pd.DataFrame({key: pdf[key], "markdown": [converter(x) for x in pdf[content]]})
 
-    out = pages.select(key, content).mapInPandas(run, f"{key} {pages.schema[key].dataType.simpleString()}, markdown string")
+def to_markdown(pages: DataFrame, key: str = "page_id", content: str = "html", converter: Callable[[str | None], str] = html_to_markdown) -> DataFrame:
+    """key, markdown, n_headings of each page; the converter is called on Arrow batches."""
+    out = _converted(pages.select(key, content), content, "markdown", "string", converter)
     return out.withColumn("n_headings", F.regexp_count("markdown", F.lit("(?m)^#{1,6} ")))
 
 
@@ -101,12 +113,8 @@ def in_turn(*converters: Callable[[str | None], str]) -> Callable[[str | None],
 
 def to_pages(pieces: DataFrame, key: str, order: str, content: str, converter: Callable[[str | None], list[str]]) -> DataFrame:
     """key, order, page, name, text: pieces of documents converted page by page, pages numbered over all pieces of a document."""
-
-    @F.pandas_udf("array<string>")
-    def pages(contents: pd.Series) -> pd.Series:
-        return pd.Series([list(converter(x)) for x in contents], dtype=object)
-
-    return files.global_pages(pieces.select(key, order, pages(content).alias("pages")), key, order, "pages", key)
+    paged = _converted(pieces.select(key, order, content), content, "pages", "array<string>", lambda x: list(converter(x)))
+    return files.global_pages(paged, key, order, "pages", key)
 
 
 def reconvert(outputs: DataFrame, sources: DataFrame, key: str = "page_id", text: str = "markdown", content: str = "html", converter: Callable[[str | None], str] = html_to_markdown) -> DataFrame:
