@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 #: Query vectors that are sent to all tasks; more are searched in rounds of this many.
 MAX_QUERIES = 4_096
+#: Scores of a block that are in memory at a time: a block is scored against so many of the queries as come to that.
+MAX_CELLS = 1 << 20
 
 
 def dot(a: str, b: str) -> Column:
@@ -49,17 +51,19 @@ def _blocks(batches, ids: np.ndarray, q: np.ndarray, cos: bool, k: int | None):
         if not len(column):
             continue
         x = np.asarray(column.flatten(), np.float64).reshape(len(column), -1)
-        s = x @ q.T
-        if cos:
-            n = np.sqrt((x * x).sum(axis=1))[:, None] * qn
-            s = np.divide(s, n, out=np.zeros_like(s), where=n != 0)
-        keys = batch.column(0).to_numpy()
-        for j in range(len(ids)):
-            at = np.arange(len(keys))
-            if k is not None and len(keys) > k:
-                kth = np.partition(s[:, j], -k)[-k]
-                at = np.flatnonzero(s[:, j] >= kth - 1e-9)
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), ids[j])), pa.array(keys[at]), pa.array(s[at, j])], ["query_id", "id", "score"])
+        keys, xn = batch.column(0).to_numpy(), np.sqrt((x * x).sum(axis=1))[:, None]
+        step = max(1, MAX_CELLS // len(keys))
+        for first in range(0, len(ids), step):
+            s = x @ q[first : first + step].T
+            if cos:
+                n = xn * qn[first : first + step]
+                s = np.divide(s, n, out=np.zeros_like(s), where=n != 0)
+            for j in range(s.shape[1]):
+                at = np.arange(len(keys))
+                if k is not None and len(keys) > k:
+                    kth = np.partition(s[:, j], -k)[-k]
+                    at = np.flatnonzero(s[:, j] >= kth - 1e-9)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), ids[first + j])), pa.array(keys[at]), pa.array(s[at, j])], ["query_id", "id", "score"])
 
 
 def scores(queries: DataFrame, chunks: DataFrame, query_id: str, chunk_id: str, vector: str, name: str = "cosine", k: int | None = None) -> DataFrame:
