@@ -10,10 +10,11 @@ from functools import lru_cache
 from itertools import accumulate, pairwise
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quillgraph.functions import batches
 from quillgraph.functions import text as T
 
 # Fixed value: where a sentence ends (no split after abbreviations like x.y. or Mr.; what follows starts a sentence).
@@ -66,18 +67,19 @@ def offsets(text: str, chunks: list[str]) -> list[tuple[int, int]]:
     return list(accumulate(chunks, after, initial=(0, 0)))[1:]
 
 
-@lru_cache(maxsize=200_000)
-def _place(word: str) -> tuple[int, float]:
+@lru_cache(maxsize=50_000)
+def _place(word: str) -> int:
+    """A word's dimension, and after as many again those of words that count -1."""
     h = int.from_bytes(hashlib.blake2b(word.encode(), digest_size=8).digest(), "little")
-    return h % DIMENSIONS, 1.0 if h >> 32 & 1 else -1.0
+    return h % DIMENSIONS + (0 if h >> 32 & 1 else DIMENSIONS)
 
 
 def hash_embed(texts: list[str]) -> np.ndarray:
     """The offline embedder: signed feature hashing of words and their neighbours, of length 1; a blank text is zero."""
-    words = [[_place(w) for w in re.findall(r"\w+", t.lower())] for t in texts]
-    row = np.repeat(np.arange(len(texts)), [len(w) for w in words])
-    flat = np.array([p for w in words for p in w]).reshape(-1, 2)
-    out = np.bincount(row * DIMENSIONS + flat[:, 0].astype(np.int64), weights=flat[:, 1], minlength=len(texts) * DIMENSIONS).astype(np.float32).reshape(len(texts), DIMENSIONS)
+    places = [np.fromiter((_place(m[0]) for m in re.finditer(r"\w+", t.lower())), np.int64) for t in texts]
+    at = np.concatenate([np.zeros(0, np.int64), *(p + i * 2 * DIMENSIONS for i, p in enumerate(places))])
+    both = np.bincount(at, minlength=len(texts) * 2 * DIMENSIONS).reshape(len(texts), 2, DIMENSIONS)
+    out = (both[:, 0] - both[:, 1]).astype(np.float32)
     n = np.linalg.norm(out, axis=1, keepdims=True)
     return np.divide(out, n, out=out, where=n > 0)
 
@@ -104,17 +106,23 @@ def split_text(text: str, embed: Callable[[list[str]], np.ndarray], threshold: f
 
 def semantic_chunks(docs: DataFrame, source: str = "source", text: str = "text", embed: Callable[[list[str]], np.ndarray] = hash_embed, threshold: float = 0.75, min_size: int = 50, max_size: int = 2000) -> DataFrame:
     """chunk_id, source, chunk_seq, start_idx, end_idx, text, embedding of every document. The fold is sequential within a
-    document, so it runs as an Arrow batch function without a shuffle; each batch embeds its chunks together."""
+    document, so it runs as an Arrow batch function without a shuffle; about 1 MB of texts are chunked and embedded together."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
+    def run(arrived: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in batches.pieces(arrived, "text"):
             rows = []
-            for s, t in zip(pdf["source"], pdf["text"], strict=True):
+            for s, t in zip(*(piece[c].to_numpy(zero_copy_only=False) for c in ("source", "text")), strict=True):
                 for seq, (c, a, b) in enumerate(split_text(t or "", embed, threshold, min_size, max_size)):
                     rows.append((f"{s}:{a}-{b}", s, seq, a, b, c))
-            out = pd.DataFrame(rows, columns=["chunk_id", "source", "chunk_seq", "start_idx", "end_idx", "text"])
-            out["embedding"] = pd.Series(list(embed(out["text"].tolist())) if len(out) else [], dtype=object)
-            yield out
-
+            if not rows:
+                continue
+            columns = list(zip(*rows, strict=True))
+            e = np.asarray(embed(list(columns[-1])), np.float32)
+            columns.append(pa.ListArray.from_arrays(np.arange(len(rows) + 1, dtype=np.int32) * e.shape[1], e.reshape(-1)))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns[:-1], types, strict=True)] + columns[-1:], names)
+
+    batches.bounded(docs.sparkSession)
+    names = ["chunk_id", "source", "chunk_seq", "start_idx", "end_idx", "text", "embedding"]
+    types = [pa.string(), pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.string()]
     schema = "chunk_id string, source string, chunk_seq int, start_idx int, end_idx int, text string, embedding array<float>"
-    return docs.select(F.col(source).cast("string").alias("source"), F.col(text).alias("text")).mapInPandas(run, schema)
+    return docs.select(F.col(source).cast("string").alias("source"), F.col(text).alias("text")).mapInArrow(run, schema)

@@ -4,12 +4,13 @@ import json
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from quillgraph import settings, sources, streaming
 from quillgraph.engine import Engine
-from quillgraph.functions import models
+from quillgraph.functions import batches, models
 from quillgraph.operators import chunking, convert, qa, vectors
 
 
@@ -254,3 +255,54 @@ def test_answer_ranks_entities_as_one_question_does(spark):
     got = e.answer(spark.createDataFrame([(1, question)], "query_id long, question string")).first()
     assert got.n_entities == 10 and "实体: Zeta One, Zeta Two, Alpha 00, Alpha 01, Alpha 02。" in got.answer
     assert got.answer == e.query(question)
+
+
+def test_conversion_holds_few_texts_at_a_time(spark):
+    """Pages of 100 KB in one partition: of what the converter makes at most about 1 MB's worth is alive at once."""
+
+    class Noted(str):
+        alive = 0
+
+        def __new__(cls, text):
+            cls.alive += 1
+            return super().__new__(cls, text)
+
+        def __del__(self):
+            type(self).alive -= 1
+
+    pages = spark.range(60, numPartitions=1).select(F.col("id").alias("page_id"), F.col("id").alias("turn"), F.when(F.col("id") != 7, F.repeat(F.lit("x"), 100_000)).alias("html"))
+    most = convert.to_markdown(pages, converter=lambda x: Noted(f"{Noted.alive} {x is None}")).collect()
+    assert len(most) == 60 and max(int(r.markdown.split()[0]) for r in most) < 20
+    assert [r.page_id for r in most if r.markdown.endswith("True")] == [7]
+    most = convert.to_pages(pages, "page_id", "turn", "html", lambda x: [Noted(str(Noted.alive))] if x else []).collect()
+    assert sorted(r.page_id for r in most) == [i for i in range(60) if i != 7] and max(int(r.text) for r in most) < 20
+
+
+def test_pieces_of_batches():
+    texts = ["x" * 300_000, None, "é" * 300_000, "", "y" * 3_000_000, "z"] * 3
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], ["n", "t"])
+    found = list(batches.pieces([batch, batch.slice(0, 0)], "t"))
+    assert [n for p in found for n in p["n"].to_pylist()] == list(range(len(texts))) and [t for p in found for t in p["t"].to_pylist()] == texts
+    sizes = [[len((t or "").encode()) for t in p["t"].to_pylist()] for p in found]
+    assert all(sum(n) - max(n) <= batches.PIECE_BYTES for n in sizes) and len(found) > 5
+
+
+def test_chunks_are_embedded_a_megabyte_at_a_time(spark):
+    def embed(texts):
+        assert sum(map(len, texts)) < 2_500_000, "too many texts at once"
+        return chunking.hash_embed(texts)
+
+    docs = spark.range(80, numPartitions=1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("Some words of a sentence. "), 4_000).alias("text"))
+    assert {r.source for r in chunking.semantic_chunks(docs, "doc_id", embed=embed).select("source").distinct().collect()} == {str(i) for i in range(80)}
+    assert chunking.hash_embed([]).shape == (0, chunking.DIMENSIONS)
+
+
+def test_blocks_are_scored_against_few_queries_at_a_time(monkeypatch):
+    rng = np.random.default_rng(3)
+    q, x = rng.normal(size=(7, 4)), rng.normal(size=(50, 4))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(50)), pa.array(x.tolist())], ["id", "v"])
+    plain = [b.to_pydict() for b in vectors._blocks([batch], np.arange(7), q, True, 5)]
+    monkeypatch.setattr(vectors, "MAX_CELLS", 120)
+    few = [b.to_pydict() for b in vectors._blocks([batch], np.arange(7), q, True, 5)]
+    assert [(b["query_id"], b["id"]) for b in few] == [(b["query_id"], b["id"]) for b in plain] and len(few) == 7
+    assert all(np.allclose(a["score"], b["score"]) for a, b in zip(few, plain, strict=True))
